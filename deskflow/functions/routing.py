@@ -20,9 +20,12 @@ def match_keyword(c: Column, keywords: Sequence[str] = fixed.RISKY_KEYWORDS) ->
 
     Alternatives are tried in list order, so "stolen" wins over "stolen phone".
     """
+    return F.nullif(_keyword_or_empty(c, keywords), F.lit(""))
+
+
+def _keyword_or_empty(c: Column, keywords: Sequence[str]) -> Column:
     alternatives = "|".join(re.escape(k) for k in keywords)
-    found = F.regexp_extract(c, rf"(?iu)(?<![{WORD_CLASS}])({alternatives})(?![{WORD_CLASS}])", 1)
-    return F.nullif(found, F.lit(""))
+    return F.regexp_extract(c, rf"(?iu)(?<![{WORD_CLASS}])({alternatives})(?![{WORD_CLASS}])", 1)
 
 
 def contains_any(c: Column, parts: Sequence[str]) -> Column:
@@ -52,7 +55,7 @@ def route(
     A missing or NaN confidence counts as low, so that an unscored message is seen by a person.
     """
     intent = F.coalesce(intent, F.lit(""))
-    keyword = match_keyword(F.coalesce(text, F.lit("")), keywords)
+    keyword = _keyword_or_empty(F.coalesce(text, F.lit("")), keywords)
     unsure = confidence.isNull() | F.isnan(confidence)
     shown = F.coalesce(fixed_point(confidence, 2), F.lit("unknown"))
 
@@ -63,7 +66,7 @@ def route(
     return (
         F.when(intent.isin(list(risky_intents)),
                outcome("ESCALATE", "High-risk intent '", intent, "' requires specialist intervention"))
-        .when(keyword.isNotNull(),
+        .when(keyword != "",
               outcome("ESCALATE", "Sensitive keyword '", keyword, "' detected in customer message"))
         .when(unsure | (confidence < F.lit(escalate)),
               outcome("ESCALATE", "Low intent classifier confidence (", shown, f" < {escalate})"))

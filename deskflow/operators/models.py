@@ -1,5 +1,6 @@
 """Text vectors and intent classifiers on MLlib."""
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest
 from pyspark.ml.feature import (
     IDF, CountVectorizer, HashingTF, IndexToString, Normalizer, RegexTokenizer, StringIndexer, StringIndexerModel,
+    VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,6 +20,7 @@ from deskflow.functions.kernels import list_array
 from deskflow.functions.text import WORD_CLASS, embed_input
 from deskflow.operators.terms import terms
 
+ROWS_PER_PART = 8192
 _TEXT, _VECTOR = "_text", "_vector"
 
 
@@ -74,6 +77,11 @@ def class_weights(df: DataFrame, label: str = "intent") -> DataFrame:
     return counts.select(label, "n", (t["n"] / (t["k"] * F.col("n"))).alias("weight"))
 
 
+def _training_parts(n: int) -> int:
+    """Every iteration is one job over these parts: enough rows in each to outweigh starting a task."""
+    return max(1, math.ceil(n / ROWS_PER_PART))
+
+
 class IntentClassifier:
     """Multinomial logistic regression on text vectors."""
 
@@ -89,13 +97,16 @@ class IntentClassifier:
         labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(df)
         # One weight per class; Spark picks the join by measured size.
         rows = labels.transform(df.join(weights.select(label, "weight"), label)).select(
-            "_label", "weight", array_to_vector(F.col(vector)).alias(_VECTOR)
+            "_label", "weight", array_to_vector(F.col(vector)).alias("_dense")
         )
+        # The assembler packs vectors that are mostly zero.
+        rows = VectorAssembler(inputCols=["_dense"], outputCol=_VECTOR).transform(rows).drop("_dense")
         learner = LogisticRegression(
             featuresCol=_VECTOR, labelCol="_label", weightCol="weight", family="multinomial",
             regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
+            tol=1e-4,
         )
-        return cls(learner.fit(rows), labels)
+        return cls(learner.fit(rows.repartition(_training_parts(n))), labels)
 
     def predict(self, df: DataFrame, vector: str = "embedding") -> DataFrame:
         """Adds intent, confidence (unrounded) and class_probabilities."""
@@ -149,7 +160,7 @@ class SvmBaseline:
 
     @classmethod
     def fit(cls, df: DataFrame, text: str = "tweet", label: str = "intent", c: float = 1.0,
-            vocabulary: int = 5000, max_iter: int = 100) -> "SvmBaseline":
+            vocabulary: int = 5000, max_iter: int = 20) -> "SvmBaseline":
         labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(df)
         rows = labels.transform(cls._terms(df, text)).select("_terms", "_label")
         features = Pipeline(stages=[
@@ -157,11 +168,13 @@ class SvmBaseline:
             IDF(inputCol="_counts", outputCol="_weighted"),
             Normalizer(inputCol="_weighted", outputCol=_VECTOR, p=2.0),
         ]).fit(rows)
-        svm = LinearSVC(featuresCol=_VECTOR, labelCol="_label", regParam=1.0 / (c * max(df.count(), 1)),
-                        maxIter=max_iter, standardization=False)
+        n = df.count()
+        svm = LinearSVC(featuresCol=_VECTOR, labelCol="_label", regParam=1.0 / (c * max(n, 1)), maxIter=max_iter,
+                        tol=1e-4, standardization=False)
         learner = OneVsRest(classifier=svm, featuresCol=_VECTOR, labelCol="_label", predictionCol="_class",
-                            parallelism=4)
-        return cls(features, learner.fit(features.transform(rows).select(_VECTOR, "_label")), labels)
+                            parallelism=len(labels.labels))
+        vectors = features.transform(rows).select(_VECTOR, "_label").repartition(_training_parts(n))
+        return cls(features, learner.fit(vectors), labels)
 
     def predict(self, df: DataFrame, text: str = "tweet", output: str = "intent") -> DataFrame:
         scored = self.model.transform(self.features.transform(self._terms(df, text)))

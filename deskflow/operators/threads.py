@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from deskflow import fixed
-from deskflow.functions.text import clean_text, mostly_ascii, parse_flag
+from deskflow.functions.columns import compute_once
+from deskflow.functions.text import clean_text, parse_flag
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -61,13 +62,12 @@ def build_threads(posts: DataFrame, brand: str = fixed.BRAND, min_chars: int = f
     asked = customer_posts(candidates).select("tweet_id", "created_at", "text")
     replies = first_replies(posts, brand).withColumnRenamed("in_response_to_tweet_id", "tweet_id")
     pairs = asked.join(replies.filter(F.length("gold_reply") >= min_chars), "tweet_id")
-    cleaned = pairs.select(
-        "tweet_id", "created_at",
-        clean_text(F.col("text")).alias("tweet"), clean_text(F.col("gold_reply")).alias("gold_reply"),
-    )
-    kept = long_enough(cleaned, ["tweet", "gold_reply"], min_chars).filter(
-        mostly_ascii(F.col("tweet")) & mostly_ascii(F.col("gold_reply"))
-    )
+    cleaned = compute_once(
+        pairs.select("tweet_id", "created_at", "text", F.col("gold_reply").alias("answer")),
+        tweet=clean_text(F.col("text")), gold_reply=clean_text(F.col("answer")),
+    ).drop("text", "answer")
+    # Cleaned text is pure ASCII: of the mostly-ASCII test only its minimum of 5 characters is left.
+    kept = long_enough(cleaned, ["tweet", "gold_reply"], max(min_chars, 5))
     return keep_first(kept, "tweet", ["created_at", "tweet_id"]).select(
         "tweet_id", "created_at", "tweet", "gold_reply"
     )

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from deskflow import fixed
+from deskflow.functions.columns import compute_once
 from deskflow.functions.judging import human_mean
 from deskflow.functions.routing import label_escalation, weak_intent
 from deskflow.operators.holdout import used_texts, without_used
@@ -17,12 +18,12 @@ EVALUATION_COLUMNS = ("tweet_id", "tweet", "intent", "gold_reply", "escalate", "
 
 def label_intents(threads: DataFrame, rules: Sequence[tuple[str, str]] = fixed.INTENT_RULES) -> DataFrame:
     """Adds the rule intent and drops threads no rule matches."""
-    return threads.withColumn("intent", weak_intent(F.col("tweet"), rules)).dropna(subset=["intent"])
+    return compute_once(threads, intent=weak_intent(F.col("tweet"), rules)).dropna(subset=["intent"])
 
 
 def with_truth_route(df: DataFrame) -> DataFrame:
     """Adds escalate and reason, the routing at label confidence."""
-    routed = df.withColumn("_r", label_escalation(F.col("tweet"), F.col("intent")))
+    routed = compute_once(df, _r=label_escalation(F.col("tweet"), F.col("intent")))
     return routed.withColumn("escalate", F.col("_r.decision")).withColumn("reason", F.col("_r.reason")).drop("_r")
 
 

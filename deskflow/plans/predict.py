@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskflow import fixed, schemas
+from deskflow.functions.columns import compute_once
 from deskflow.functions.replies import draft_reply
 from deskflow.functions.routing import route
 from deskflow.functions.text import clean_text, round_binary, strip
@@ -63,7 +64,7 @@ class SupportAgent:
         rows = messages.select(message_id, prepared.alias("tweet"))
         scored = self.classifier.predict(self.encoder.encode(rows)).drop("class_probabilities")
         found = retrieve_context(scored, self.index, k, message_id)
-        routed = found.withColumn("_r", route(F.col("tweet"), F.col("intent"), F.col("confidence")))
+        routed = compute_once(found, _r=route(F.col("tweet"), F.col("intent"), F.col("confidence")))
         return routed.select(
             message_id, "tweet", "intent", round_binary(F.col("confidence"), 4).alias("confidence"),
             draft_reply(F.col("retrieved_context")).alias("generated_reply"),

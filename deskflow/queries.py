@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deskflow import fixed, schemas
 from deskflow.functions import judging, replies, routing, text as tx, vectors as vec
+from deskflow.functions.columns import compute_once
 from deskflow.operators import holdout, metrics, models, retrieval, rubric, sampling, terms, threads
 from deskflow.plans import datasets, evaluate, predict, run_all
 from deskflow.sources import derived, sinks, stage, tables
@@ -22,11 +23,11 @@ def query(f: Query) -> Query:
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.view(spark, sf, derived.POSTS)
+    return derived.view(spark, sf, derived.POSTS, spread_rows=True)
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.view(spark, sf, derived.TEXTS)
+    return derived.view(spark, sf, derived.TEXTS, spread_rows=True)
 
 
 def judged(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,8 +37,8 @@ def judged(spark: SparkSession, sf: str) -> DataFrame:
 def customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customer posts with cleaned text, rule intent and a confidence off rounding ties."""
     asked = threads.customer_posts(posts(spark, sf)).select("tweet_id", "text")
-    cleaned = asked.withColumn("tweet", tx.clean_text(F.col("text")))
-    return cleaned.withColumn("intent", routing.weak_intent(F.col("tweet"))).withColumn(
+    cleaned = compute_once(asked, tweet=tx.clean_text(F.col("text")))
+    return compute_once(cleaned, intent=routing.weak_intent(F.col("tweet"))).withColumn(
         "confidence", (F.col("tweet_id").cast("long") % 97) / F.lit(97.0))
 
 
@@ -187,7 +188,7 @@ def default_column(spark, sf):
 
 @query
 def sanitize_text(spark, sf):
-    padded = F.concat(F.lit("  \t"), F.col("text"), F.lit(" \n "))
+    padded = F.concat(F.lit(" \u00a0\t"), F.col("text"), F.lit(" \n\u2003"))
     return texts(spark, sf).select(
         "text_id", tx.strip(padded).alias("query"), tx.embed_input(F.left(padded, F.lit(4))).alias("encoded"))
 

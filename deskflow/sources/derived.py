@@ -7,6 +7,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from deskflow.sources.tables import spread
+
 # The brand account of the derived posts.
 BRAND = "Support"
 
@@ -99,10 +101,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def view(spark: SparkSession, folder: str, sql: str) -> DataFrame:
+def view(spark: SparkSession, folder: str, sql: str, spread_rows: bool = False) -> DataFrame:
     """Run a derived view over the Parquet tables of a folder."""
-    names = table_names(sql)
-    for name in names:
-        table(spark, folder, name).createOrReplaceTempView(f"deskflow_{name}")
-        sql = sql.replace("{" + name + "}", f"deskflow_{name}")
+    for name in table_names(sql):
+        rows = table(spark, folder, name)
+        name_here = f"deskflow_{name}_spread" if spread_rows else f"deskflow_{name}"
+        (spread(rows) if spread_rows else rows).createOrReplaceTempView(name_here)
+        sql = sql.replace("{" + name + "}", name_here)
     return spark.sql(sql)

@@ -68,3 +68,12 @@ def scan_messages(df: DataFrame) -> DataFrame:
 def default_column(df: DataFrame, name: str, value: str) -> DataFrame:
     """Add a constant column when the table lacks it."""
     return df if name in df.columns else df.withColumn(name, F.lit(value))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that the scan would read in fewer tasks than there are cores.
+
+    For work that is heavy per row, on a small table.  A large table is read in many tasks and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
