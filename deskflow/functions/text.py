@@ -59,7 +59,7 @@ def mostly_ascii(c: Column, share: float = fixed.ASCII_SHARE) -> Column:
     """True when the text has 5 characters or more and its ASCII share is above ``share``."""
     ascii_chars = F.length(F.regexp_replace(c, r"[^\x00-\x7F]+", ""))
     return F.coalesce(
-        F.when(F.length(strip(c)) >= 5, ascii_chars / F.length(c) > F.lit(share)), F.lit(False)
+        F.when(F.length(strip(c)) >= 5, F.try_divide(ascii_chars, F.length(c)) > F.lit(share)), F.lit(False)
     )
 
 

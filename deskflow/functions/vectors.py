@@ -15,9 +15,9 @@ def norm(a: Column) -> Column:
 def l2_normalize(a: Column) -> Column:
     """Unit vector in double precision; the zero vector stays as it is."""
     length = norm(a)
-    return F.transform(a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x.cast("double")))
+    return F.transform(a, lambda x: F.coalesce(F.try_divide(x.cast("double"), length), x.cast("double")))
 
 
 def cosine(a: Column, b: Column) -> Column:
-    lengths = norm(a) * norm(b)
-    return F.when(lengths > 0, dot(a, b) / lengths).otherwise(F.lit(0.0))
+    """Cosine of the angle, 0 when a vector is zero."""
+    return F.coalesce(F.try_divide(dot(a, b), norm(a) * norm(b)), F.lit(0.0))

@@ -12,7 +12,8 @@ from deskflow.functions.text import round_binary
 
 
 def _ratio(num: Column, den: Column) -> Column:
-    return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
+    """Quotient, 0 where the divisor is 0."""
+    return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
 def label_counts(df: DataFrame, label: str = "intent") -> DataFrame:
@@ -175,21 +176,27 @@ def compare_models(predictions: DataFrame) -> DataFrame:
         is_escalated(F.col("truth_route")).alias("e_truth"), is_escalated(F.col("route")).alias("e_route"),
     ).agg(F.count("*").alias("n"))
     zero = F.lit(0).cast("long")
-    hit = F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(zero)
-    labels = (
-        counts.select("model", F.inline(F.array(
-            F.struct(F.col("truth").alias("label"), hit.alias("tp"), F.col("n").alias("both")),
-            F.struct(F.col("predicted").alias("label"), zero.alias("tp"), F.col("n").alias("both")),
-        )))
-        .groupBy("model", "label").agg(F.sum("tp").alias("tp"), F.sum("both").alias("both"))
-        .groupBy("model").agg(F.avg(_ratio(2 * F.col("tp"), F.col("both"))).alias("intent_macro_f1"))
-    )
-    overall = counts.groupBy("model").agg(
-        F.sum(hit).alias("hits"), F.sum("n").alias("rows"),
-        *binary_counts(F.col("e_truth"), F.col("e_route"), F.col("n")),
+
+    def rows_where(condition: Column) -> Column:
+        return F.when(condition, F.col("n")).otherwise(zero)
+
+    e_truth, e_route = F.col("e_truth") == 1, F.col("e_route") == 1
+    # The truth side carries what is counted once per row.
+    once = {"hits": rows_where(F.col("truth") == F.col("predicted")), "rows": F.col("n"),
+            "tp": rows_where(e_truth & e_route), "fp": rows_where(~e_truth & e_route),
+            "fn": rows_where(e_truth & ~e_route)}
+    sides = F.array(
+        F.struct(F.col("truth").alias("label"), F.col("n").alias("both"), *[c.alias(k) for k, c in once.items()]),
+        F.struct(F.col("predicted").alias("label"), F.col("n").alias("both"), *[zero.alias(k) for k in once]),
+    )
+    per_class = counts.select("model", F.inline(sides)).groupBy("model", "label").agg(
+        *[F.sum(c).alias(c) for c in ("both", *once)]
+    )
+    total = per_class.groupBy("model").agg(
+        F.avg(_ratio(2 * F.col("hits"), F.col("both"))).alias("intent_macro_f1"), *[F.sum(c).alias(c) for c in once]
     )
     tp, fp, fn = (F.col(c) for c in ("tp", "fp", "fn"))
-    return overall.join(labels, "model").select(
+    return total.select(
         "model",
         _ratio(F.col("hits"), F.col("rows")).alias("intent_accuracy"),
         "intent_macro_f1",

@@ -8,11 +8,11 @@ import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, HashingTF, IndexToString, Normalizer, RegexTokenizer, StringIndexer, StringIndexerModel,
+    IDF, CountVectorizer, HashingTF, IndexToString, Normalizer, RegexTokenizer, StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from deskflow import fixed
@@ -82,6 +82,18 @@ def _training_parts(n: int) -> int:
     return max(1, math.ceil(n / ROWS_PER_PART))
 
 
+def _label_table(df: DataFrame, label: str) -> tuple[StringIndexerModel, int, Column]:
+    """Indexer of the sorted labels, number of rows, and a map label -> balanced weight.
+
+    One pass; the driver sees one row per class.
+    """
+    counts = {r[label]: (r["n"], r["weight"]) for r in class_weights(df.dropna(subset=[label]), label).collect()}
+    names = sorted(counts)
+    indexer = StringIndexerModel.from_labels(names, inputCol=label, outputCol="_label", handleInvalid="skip")
+    weights = F.create_map(*[F.lit(v) for name in names for v in (name, counts[name][1])])
+    return indexer, sum(n for n, _ in counts.values()), weights
+
+
 class IntentClassifier:
     """Multinomial logistic regression on text vectors."""
 
@@ -92,11 +104,8 @@ class IntentClassifier:
     def fit(cls, df: DataFrame, label: str = "intent", vector: str = "embedding", c: float = 1.0,
             max_iter: int = 1000) -> "IntentClassifier":
         """Balanced classes, L2 penalty 1/(2C), features as they are."""
-        weights = class_weights(df, label)
-        n = df.count()
-        labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(df)
-        # One weight per class; Spark picks the join by measured size.
-        rows = labels.transform(df.join(weights.select(label, "weight"), label)).select(
+        labels, n, weights = _label_table(df, label)
+        rows = labels.transform(df.withColumn("weight", weights[F.col(label)])).select(
             "_label", "weight", array_to_vector(F.col(vector)).alias("_dense")
         )
         # The assembler packs vectors that are mostly zero.
@@ -161,14 +170,13 @@ class SvmBaseline:
     @classmethod
     def fit(cls, df: DataFrame, text: str = "tweet", label: str = "intent", c: float = 1.0,
             vocabulary: int = 5000, max_iter: int = 20) -> "SvmBaseline":
-        labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(df)
+        labels, n, _ = _label_table(df, label)
         rows = labels.transform(cls._terms(df, text)).select("_terms", "_label")
         features = Pipeline(stages=[
             CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=vocabulary),
             IDF(inputCol="_counts", outputCol="_weighted"),
             Normalizer(inputCol="_weighted", outputCol=_VECTOR, p=2.0),
         ]).fit(rows)
-        n = df.count()
         svm = LinearSVC(featuresCol=_VECTOR, labelCol="_label", regParam=1.0 / (c * max(n, 1)), maxIter=max_iter,
                         tol=1e-4, standardization=False)
         learner = OneVsRest(classifier=svm, featuresCol=_VECTOR, labelCol="_label", predictionCol="_class",

@@ -30,9 +30,11 @@ def human_agreement(df: DataFrame, human: str, judge: str, degenerate_corr: floa
     h, j = F.col(human).cast("double"), F.col(judge).cast("double")
     gap = F.abs(h - j)
     constant = (F.min(h) == F.max(h)) | (F.min(j) == F.max(j))
+    # ``corr`` itself fails on a constant side when ANSI mode is on.
+    pearson = F.try_divide(F.covar_pop(h, j), F.stddev_pop(h) * F.stddev_pop(j))
     return df.agg(
         F.count("*").alias("sample_size"),
-        F.when(constant, F.lit(degenerate_corr).cast("double")).otherwise(F.corr(h, j)).alias("pearson_correlation"),
+        F.when(constant, F.lit(degenerate_corr).cast("double")).otherwise(pearson).alias("pearson_correlation"),
         F.avg(gap).alias("mean_absolute_error"),
         (F.avg((gap <= 1).cast("double")) * 100.0).alias("agreement_within_1_point_pct"),
         F.avg(h).alias("human_mean_score"),

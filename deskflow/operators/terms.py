@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from deskflow.functions.columns import compute_once
 from deskflow.functions.text import tokens
 
 
@@ -18,14 +19,13 @@ def terms(c: Column, pairs: bool = True) -> Column:
 def term_stats(df: DataFrame, text: str, top: int = 5000) -> DataFrame:
     """Corpus and document frequency of the ``top`` most frequent terms.
 
-    Each occurrence adds (1, 0) and each distinct term of a text (0, 1), so one shuffle of map-side sums
-    gives both counts; frequent terms are combined before it.
+    The terms of a text are sorted, so an occurrence that differs from the one before it is the first of its
+    term in the text.  One shuffle of map-side counts gives both frequencies.
     """
-    found = df.select(terms(F.col(text)).alias("found"))
-    marks = F.concat(
-        F.transform("found", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(F.array_distinct("found"),
-                    lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
-    )
-    counted = found.select(F.inline(marks)).groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    found = compute_once(df.select(text), _terms=F.sort_array(terms(F.col(text))))
+    beside = F.arrays_zip(F.col("_terms").alias("term"), F.concat(F.array(F.lit(None)), "_terms").alias("before"))
+    # The second list is one longer: its last pair has no term.
+    pairs = found.select(F.inline(beside).alias("term", "before")).filter(F.col("term").isNotNull())
+    is_first = F.col("before").isNull() | (F.col("before") != F.col("term"))
+    counted = pairs.groupBy("term").agg(F.count("*").alias("tf"), F.sum(is_first.cast("int")).alias("df"))
     return counted.orderBy(F.desc("tf"), "term").limit(top)

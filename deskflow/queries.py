@@ -331,7 +331,7 @@ def class_weights(spark, sf):
 
 @query
 def term_stats(spark, sf):
-    return terms.term_stats(derived.table(spark, sf, "documents"), "text")
+    return terms.term_stats(tables.spread(derived.table(spark, sf, "documents")), "text")
 
 
 @query
