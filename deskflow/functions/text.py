@@ -68,6 +68,11 @@ def parse_flag(c: Column) -> Column:
     return F.coalesce(F.lower(c).isin("true", "1", "t"), F.lit(False))
 
 
+def text_key(c: Column) -> Column:
+    """32-byte digest that stands for a text in joins and groupings, so that shuffles need not carry the text."""
+    return F.unhex(F.sha2(c, 256))
+
+
 def words(c: Column) -> Column:
     return F.split(strip(c), f"[{SPACE_CLASS}]+")
 

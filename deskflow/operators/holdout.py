@@ -4,29 +4,34 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from deskflow.functions.text import text_key
+
 
 def used_texts(*frames: DataFrame, column: str = "tweet") -> DataFrame:
     """Distinct non-null texts of the given frames."""
-    texts = [f.select(column) for f in frames]
-    return reduce(DataFrame.unionByName, texts).dropna().distinct()
+    texts = [f.select(column).filter(F.col(column).isNotNull()) for f in frames]
+    return reduce(DataFrame.unionByName, texts).distinct()
 
 
 def without_used(pool: DataFrame, used: DataFrame, column: str = "tweet") -> DataFrame:
     """Rows of the pool whose text is not in ``used``; a null text is kept.
 
-    No broadcast hint: Spark broadcasts ``used`` when its measured size allows, and otherwise joins by
-    sort-merge with skew handling on the pool side.
+    Joined on a digest: ``used`` is 32 bytes a row, and pool texts nobody reads later are not shuffled.  No
+    broadcast hint: Spark broadcasts ``used`` when its measured size allows, and otherwise joins by sort-merge
+    with skew handling on the pool side.
     """
-    return pool.join(used, column, "left_anti")
+    keys = used.select(text_key(F.col(column)).alias("_key"))
+    return pool.withColumn("_key", text_key(F.col(column))).join(keys, "_key", "left_anti").drop("_key")
 
 
 def split_overlap(splits: dict[str, DataFrame], column: str = "tweet") -> DataFrame:
     """Number of distinct texts shared by each pair of splits, zero included."""
     names = list(splits)
-    tagged = reduce(
-        DataFrame.unionByName, [f.select(column, F.lit(n).alias("split")) for n, f in splits.items()]
-    ).dropna(subset=[column])
-    flags = tagged.groupBy(column).agg(*[F.max((F.col("split") == n).cast("int")).alias(n) for n in names])
+    tagged = reduce(DataFrame.unionByName, [
+        f.filter(F.col(column).isNotNull()).select(text_key(F.col(column)).alias("_key"), F.lit(n).alias("split"))
+        for n, f in splits.items()
+    ])
+    flags = tagged.groupBy("_key").agg(*[F.max((F.col("split") == n).cast("int")).alias(n) for n in names])
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
     totals = flags.agg(*[
         F.coalesce(F.sum(F.col(a) * F.col(b)), F.lit(0)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)

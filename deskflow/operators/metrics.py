@@ -23,7 +23,7 @@ def label_counts(df: DataFrame, label: str = "intent") -> DataFrame:
 
 def majority_class(df: DataFrame, label: str = "intent") -> DataFrame:
     """Most frequent label; a tie goes to the first in sorted order."""
-    return label_counts(df.dropna(subset=[label]), label).limit(1)
+    return label_counts(df.filter(F.col(label).isNotNull()), label).limit(1)
 
 
 def pair_counts(df: DataFrame, truth: str, predicted: str, weight: str | None = None) -> DataFrame:

@@ -87,7 +87,7 @@ def _label_table(df: DataFrame, label: str) -> tuple[StringIndexerModel, int, Co
 
     One pass; the driver sees one row per class.
     """
-    counts = {r[label]: (r["n"], r["weight"]) for r in class_weights(df.dropna(subset=[label]), label).collect()}
+    counts = {r[label]: (r["n"], r["weight"]) for r in class_weights(df.filter(F.col(label).isNotNull()), label).collect()}
     names = sorted(counts)
     indexer = StringIndexerModel.from_labels(names, inputCol=label, outputCol="_label", handleInvalid="skip")
     weights = F.create_map(*[F.lit(v) for name in names for v in (name, counts[name][1])])

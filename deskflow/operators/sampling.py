@@ -66,7 +66,7 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``split``: per class, shuffled, a capped fraction for each name; the rest is dropped."""
     needed = sum(split_sizes(F.col("_n"), fractions, caps), F.lit(0))
-    keyed = df.dropna(subset=[class_column]).withColumn("_key", shuffle_key(id_column, seed))
+    keyed = df.filter(F.col(class_column).isNotNull()).withColumn("_key", shuffle_key(id_column, seed))
     ranked = _ranked(_cut_by_histogram(keyed, class_column, needed, classes), class_column, id_column)
     upper, split = F.lit(0), F.lit(None).cast("string")
     bounds = []
@@ -75,7 +75,7 @@ def stratified_split(
         bounds.append(upper)
     for name, bound in reversed(list(zip(names, bounds))):
         split = F.when(F.col("_rank") <= bound, F.lit(name)).otherwise(split)
-    return ranked.withColumn("split", split).dropna(subset=["split"]).drop("_key", "_rank", "_n")
+    return ranked.withColumn("split", split).filter(F.col("split").isNotNull()).drop("_key", "_rank", "_n")
 
 
 def cap_splits(
@@ -103,15 +103,26 @@ def first_per_class(
     seed: int = fixed.SEED,
 ) -> DataFrame:
     """At most ``per_class`` random rows of each class."""
-    keyed = df.dropna(subset=[class_column]).withColumn("_key", shuffle_key(id_column, seed))
+    keyed = df.filter(F.col(class_column).isNotNull()).withColumn("_key", shuffle_key(id_column, seed))
     if per_class >= _group_limit(df):
         keyed = _cut_by_histogram(keyed, class_column, F.lit(per_class), classes).drop("_n")
     return _ranked(keyed, class_column, id_column).filter(F.col("_rank") <= per_class).drop("_key", "_rank")
 
 
 def random_rows(df: DataFrame, n: int, id_column: str = "tweet_id", seed: int | str = fixed.SEED) -> DataFrame:
-    """``n`` random rows: each task keeps its first n, then one merge."""
-    return df.orderBy(shuffle_key(id_column, seed), id_column).limit(n)
+    """``n`` random rows: each task keeps its first n, then one merge.
+
+    For a large ``n``, rows beyond the key prefix at which n rows are reached go where they are read, so the
+    merge gets little more than n rows.
+    """
+    keyed = df.withColumn("_key", shuffle_key(id_column, seed))
+    if n >= _group_limit(df):
+        prefix = F.substring("_key", 1, _PREFIX_DIGITS)
+        histogram = keyed.groupBy(prefix.alias("_prefix")).agg(F.count("*").alias("_rows"))
+        before = F.sum("_rows").over(W.orderBy("_prefix")) - F.col("_rows")
+        cut = histogram.withColumn("_before", before).filter(F.col("_before") < n).agg(F.max("_prefix"))
+        keyed = keyed.filter(prefix <= cut.scalar())
+    return keyed.orderBy("_key", id_column).limit(n).drop("_key")
 
 
 def stratified_sample(
@@ -137,7 +148,7 @@ def topped_up_sample(
 ) -> DataFrame:
     """``stratified_sample``, filled up with random other rows when the classes give fewer than ``total``."""
     sampled = first_per_class(df, per_class, id_column, class_column, seed=seed)
-    others = df.dropna(subset=[class_column]).join(sampled.select(id_column), id_column, "left_anti")
+    others = df.filter(F.col(class_column).isNotNull()).join(sampled.select(id_column), id_column, "left_anti")
     filler = random_rows(others, total, id_column, f"{seed}:more")
     both = sampled.withColumn("_late", F.lit(0)).unionByName(filler.withColumn("_late", F.lit(1)))
     # Sampled rows come first in one order, the filler behind them in its own.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from deskflow import fixed
 from deskflow.functions.columns import compute_once
-from deskflow.functions.text import clean_text, parse_flag
+from deskflow.functions.text import clean_text, parse_flag, text_key
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -20,6 +20,12 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return first.select(key, "_first.*").select(*df.columns)
 
 
+def dedupe_text(df: DataFrame, text: str, order: Sequence[str], keep_text: bool = True) -> DataFrame:
+    """First row per text, grouped by a digest; without ``keep_text`` the text is not shuffled at all."""
+    keyed = df.withColumn("_key", text_key(F.col(text)))
+    return keep_first(keyed if keep_text else keyed.drop(text), "_key", order).drop("_key")
+
+
 def customer_posts(posts: DataFrame) -> DataFrame:
     return posts.filter(parse_flag(F.col("inbound")))
 
@@ -32,7 +38,7 @@ def first_replies(posts: DataFrame, brand: str = fixed.BRAND) -> DataFrame:
     """Earliest reply of the brand to each post it answered."""
     replies = (
         brand_posts(posts, brand)
-        .dropna(subset=["in_response_to_tweet_id"])
+        .filter(F.col("in_response_to_tweet_id").isNotNull())
         .select("in_response_to_tweet_id", "created_at", "tweet_id", "text")
     )
     first = keep_first(replies, "in_response_to_tweet_id", ["created_at", "tweet_id"])
@@ -46,7 +52,7 @@ def thread_pairs(posts: DataFrame, brand: str = fixed.BRAND) -> DataFrame:
     """
     asked = customer_posts(posts).select("tweet_id", "created_at", "text")
     replies = first_replies(posts, brand).withColumnRenamed("in_response_to_tweet_id", "tweet_id")
-    return asked.join(replies.dropna(subset=["gold_reply"]), "tweet_id")
+    return asked.join(replies.filter(F.col("gold_reply").isNotNull()), "tweet_id")
 
 
 def long_enough(df: DataFrame, columns: Sequence[str], chars: int = fixed.MIN_CHARS) -> DataFrame:

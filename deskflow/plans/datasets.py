@@ -18,7 +18,7 @@ EVALUATION_COLUMNS = ("tweet_id", "tweet", "intent", "gold_reply", "escalate", "
 
 def label_intents(threads: DataFrame, rules: Sequence[tuple[str, str]] = fixed.INTENT_RULES) -> DataFrame:
     """Adds the rule intent and drops threads no rule matches."""
-    return compute_once(threads, intent=weak_intent(F.col("tweet"), rules)).dropna(subset=["intent"])
+    return compute_once(threads, intent=weak_intent(F.col("tweet"), rules)).filter(F.col("intent").isNotNull())
 
 
 def with_truth_route(df: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def model_save_load(spark, sf):
 @query
 def stage_skip(spark, sf):
     path = stage.new_path(spark, "counts")
-    counts = metrics.label_counts(customers(spark, sf).dropna(subset=["intent"]))
+    counts = metrics.label_counts(customers(spark, sf).filter("intent is not null"))
     stage.stage_skip(spark, path, lambda: counts)
     # The second call must read the table: its own computation would give no rows.
     return stage.stage_skip(spark, path, lambda: counts.filter("false"))
@@ -151,7 +151,7 @@ def brand_replies(spark, sf):
 
 @query
 def drop_nulls(spark, sf):
-    return posts(spark, sf).dropna(subset=["in_response_to_tweet_id"]).select("tweet_id", "in_response_to_tweet_id")
+    return posts(spark, sf).filter("in_response_to_tweet_id is not null").select("tweet_id", "in_response_to_tweet_id")
 
 
 @query
@@ -221,7 +221,7 @@ def holdout_anti(spark, sf):
 
 @query
 def topup_anti(spark, sf):
-    rows = customers(spark, sf).dropna(subset=["intent"])
+    rows = customers(spark, sf).filter("intent is not null")
     sampled = sampling.first_per_class(rows, fixed.GOLDEN_PER_CLASS)
     return rows.join(sampled.select("tweet_id"), "tweet_id", "left_anti").select("tweet_id", "intent")
 
@@ -259,7 +259,7 @@ def attach_truth(spark, sf):
 
 @query
 def label_decode(spark, sf):
-    rows = customers(spark, sf).dropna(subset=["intent"]).select("tweet_id", "intent")
+    rows = customers(spark, sf).filter("intent is not null").select("tweet_id", "intent")
     coded = models.encode_labels(rows, fixed.INTENTS)
     return models.decode_labels(coded, fixed.INTENTS).select("tweet_id", "label_index", "decoded")
 
@@ -268,7 +268,7 @@ def label_decode(spark, sf):
 
 @query
 def intent_counts(spark, sf):
-    return metrics.label_counts(customers(spark, sf).dropna(subset=["intent"]))
+    return metrics.label_counts(customers(spark, sf).filter("intent is not null"))
 
 
 @query
@@ -326,7 +326,7 @@ def baseline_majority(spark, sf):
 
 @query
 def class_weights(spark, sf):
-    return rounded(models.class_weights(customers(spark, sf).dropna(subset=["intent"])), "weight")
+    return rounded(models.class_weights(customers(spark, sf).filter("intent is not null")), "weight")
 
 
 @query
@@ -408,7 +408,7 @@ def dedupe_reply_target(spark, sf):
 @query
 def dedupe_text(spark, sf):
     docs = derived.table(spark, sf, "documents").select("text", "doc_id", "lang", "source")
-    return threads.keep_first(docs, "text", ["doc_id"]).select("doc_id", "lang", "source")
+    return threads.dedupe_text(docs, "text", ["doc_id"], keep_text=False)
 
 
 @query
@@ -628,7 +628,7 @@ def route(spark, sf):
 
 @query
 def label_escalation(spark, sf):
-    labelled = datasets.with_truth_route(customers(spark, sf).dropna(subset=["intent"]))
+    labelled = datasets.with_truth_route(customers(spark, sf).filter("intent is not null"))
     return labelled.select("tweet_id", "escalate", "reason")
 
 

@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
 from deskflow.operators.holdout import split_overlap, used_texts, without_used
-from deskflow.operators.sampling import cap_splits, first_per_class, stratified_split, topped_up_sample
-from deskflow.operators.threads import build_threads, first_replies, keep_first, thread_pairs, turn_pairs
+from deskflow.operators.sampling import cap_splits, first_per_class, random_rows, stratified_split, topped_up_sample
+from deskflow.operators.threads import build_threads, dedupe_text, first_replies, keep_first, thread_pairs, turn_pairs
 from deskflow.schemas import POSTS
 
 
@@ -115,6 +115,24 @@ def test_group_limit_runs_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_random_rows_two_ways(spark):
+    df = classes(spark, 5000)
+    want = [r["tweet_id"] for r in random_rows(df, 900).collect()]
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        assert [r["tweet_id"] for r in random_rows(df, 900).collect()] == want
+        assert random_rows(df, 9000).count() == 5000
+        assert random_rows(df.filter("false"), 900).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_dedupe_text(spark):
+    df = spark.createDataFrame([("x", 3, "c"), ("x", 1, "a"), ("y", 2, "b")], "t string, i int, v string")
+    assert sorted(map(tuple, dedupe_text(df, "t", ["i"]).collect())) == [("x", 1, "a"), ("y", 2, "b")]
+    assert dedupe_text(df, "t", ["i"], keep_text=False).columns == ["i", "v"]
+
+
 def test_topped_up(spark):
     df = classes(spark, 3000)
     rows = topped_up_sample(df, 5, 100).collect()
