@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 1_000_000
-_SCORES_AT_ONCE = 4_000_000
+_SCORES_AT_ONCE = 1_000_000
 
 
 def matrix_of(vectors: pa.Array) -> np.ndarray:
@@ -40,15 +40,19 @@ def best_rows(queries: np.ndarray, index: np.ndarray, k: int) -> tuple[np.ndarra
         return np.zeros((len(queries), 0), dtype=np.int64), np.zeros((len(queries), 0))
     places, scores = [], []
     step = max(1, _SCORES_AT_ONCE // n)
-    backwards = n - 1 - np.arange(n, dtype=np.int64)
+    backwards = n - 1.0 - np.arange(n)
     for start in range(0, len(queries), step):
-        grid = np.rint((queries[start:start + step] @ index.T) * SCALE).astype(np.int64)
-        keys = grid * n + backwards
+        # Whole numbers below 2**53, so doubles hold them exactly; worked in place to spare memory traffic.
+        keys = queries[start:start + step] @ index.T
+        keys *= SCALE
+        np.rint(keys, out=keys)
+        keys *= n
+        keys += backwards
         if k < n:
-            keys = np.partition(keys, n - k, axis=1)[:, n - k:]
-        keys = -np.sort(-keys, axis=1)
-        places.append(n - 1 - np.mod(keys, n))
-        scores.append(np.floor_divide(keys, n) / SCALE)
+            keys.partition(n - k, axis=1)
+        best = -np.sort(-keys[:, n - k:], axis=1).astype(np.int64)
+        places.append(n - 1 - np.mod(best, n))
+        scores.append(np.floor_divide(best, n) / SCALE)
     return np.vstack(places), np.vstack(scores)
 
 

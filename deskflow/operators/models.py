@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest
 from pyspark.ml.feature import (
@@ -115,7 +116,12 @@ class IntentClassifier:
             regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
             tol=1e-4,
         )
-        return cls(learner.fit(rows.repartition(_training_parts(n))), labels)
+        # Read by every iteration.
+        rows = rows.repartition(_training_parts(n)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return cls(learner.fit(rows), labels)
+        finally:
+            rows.unpersist()
 
     def predict(self, df: DataFrame, vector: str = "embedding") -> DataFrame:
         """Adds intent, confidence (unrounded) and class_probabilities."""
