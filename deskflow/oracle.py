@@ -187,7 +187,7 @@ def _hits(queries: str, index: str, query_id: str, index_id: str) -> str:
     / sqrt(list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])))
     / sqrt(list_inner_product(CAST(i.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[]))), 6) AS similarity
   FROM {queries} q CROSS JOIN {index} i),
-hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM scored) s0 WHERE rank <= 5)"""
+hits AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS INTEGER) AS rank FROM scored) s0 WHERE rank <= 5)"""
 
 
 _CONTEXT = f"{_INDEX}, {_hits('idx', 'idx', 'id', 'id')}, found AS (SELECT h.query_id, h.rank, h.similarity, i.tweet, i.apple_reply, i.intent FROM hits h JOIN idx i ON h.id = i.id)"
@@ -295,13 +295,13 @@ ORACLE: dict[str, str] = {
     "sink_splits": f"WITH {_SPLITS} SELECT split, tweet_id, tweet, gold_reply, intent FROM splits",
     "sink_metrics": f"WITH doc AS (WITH {_DOCUMENT}) SELECT dataset, accuracy, f1_score FROM doc",
     "scan_metrics": f"WITH {_DOCUMENT}",
-    "sink_vector_table": f"WITH {_INDEX} SELECT id, tweet, apple_reply, intent, len(embedding) AS width FROM idx",
+    "sink_vector_table": f"WITH {_INDEX} SELECT id, tweet, apple_reply, intent, CAST(len(embedding) AS INTEGER) AS width FROM idx",
     "stage_skip": f"WITH {_CUSTOMERS} SELECT intent, count(*) AS n FROM customers WHERE intent IS NOT NULL GROUP BY intent",
     # projections and filters
     "parse_inbound": f"WITH {_POSTS} SELECT tweet_id, {_flag('inbound')} AS inbound FROM posts",
     "brand_replies": f"WITH {_POSTS} SELECT tweet_id, text, in_response_to_tweet_id FROM posts WHERE author_id = 'Support'",
     "drop_nulls": f"WITH {_POSTS} SELECT tweet_id, in_response_to_tweet_id FROM posts WHERE in_response_to_tweet_id IS NOT NULL",
-    "min_length": f"WITH {_TEXTS} SELECT text_id, length(text) AS n_chars FROM texts WHERE length(text) >= 20",
+    "min_length": f"WITH {_TEXTS} SELECT text_id, CAST(length(text) AS INTEGER) AS n_chars FROM texts WHERE length(text) >= 20",
     "mostly_ascii": rf"WITH {_TEXTS} SELECT text_id, CASE WHEN length({_strip('text')}) < 5 THEN FALSE ELSE length(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) / length(text) > CAST(0.85 AS DOUBLE) END AS ascii FROM texts",
     "inbound_only": f"WITH {_POSTS} SELECT tweet_id, author_id FROM posts WHERE {_flag('inbound')}",
     "project_thread": f"WITH {_THREADS} SELECT tweet, gold_reply, intent FROM labelled",
@@ -353,7 +353,7 @@ SELECT a.split AS split_a, b.split AS split_b, (SELECT count(*) FROM s x JOIN s
     "stratified_sample": f"WITH {_CUSTOMERS}, {_balanced('customers', 'picked', 2000 // 9 + 5, 2000)} SELECT tweet_id, intent FROM picked",
     "topup_sample": f"WITH {_CUSTOMERS}, {_topped_up('customers', 'picked', 20, 200)} SELECT tweet_id, intent FROM picked",
     "review_sample": f"WITH {_CUSTOMERS} SELECT tweet_id, tweet FROM customers ORDER BY {_key('tweet_id')}, tweet_id LIMIT 30",
-    "topk_per_query": "SELECT o_custkey, o_orderkey, o_totalprice, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) o WHERE rank <= 5",
+    "topk_per_query": "SELECT o_custkey, o_orderkey, o_totalprice, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders) o WHERE rank <= 5",
     "argmax_class": "SELECT vec_id, concat('class_', CAST(list_position(embedding, list_max(embedding)) - 1 AS VARCHAR)) AS intent, round(CAST(list_max(embedding) AS DOUBLE), 6) AS confidence FROM embeddings",
     "sorted_labels": f"WITH {_JUDGED} SELECT truth AS label FROM judged UNION SELECT predicted FROM judged ORDER BY label",
     "preview": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 3",
@@ -367,7 +367,7 @@ SELECT a.split AS split_a, b.split AS split_b, (SELECT count(*) FROM s x JOIN s
     "match_keyword": f"WITH {_TEXTS} SELECT text_id, {_keyword('text')} AS keyword FROM texts",
     "keyword_contains": f"WITH {_CUSTOMERS} SELECT tweet_id, CASE WHEN coalesce(intent, '') IN {_in(fixed.RISKY_INTENTS)} OR {_has('tweet', fixed.BASELINE_KEYWORDS)} THEN 'ESCALATE' ELSE 'AUTO' END AS decision FROM customers",
     "readable_intent": f"WITH {_CUSTOMERS} SELECT tweet_id, replace(intent, '_', ' ') AS intent FROM customers",
-    "word_count": f"WITH {_TEXTS} SELECT text_id, {_word_count('text')} AS n_words FROM texts",
+    "word_count": f"WITH {_TEXTS} SELECT text_id, CAST({_word_count('text')} AS INTEGER) AS n_words FROM texts",
     "cap_words": f"WITH {_TEXTS} SELECT text_id, {_cap('text', 70)} AS capped FROM texts",
     "context_block": f"WITH {_CONTEXT} SELECT query_id AS id, string_agg(concat('[Example ', CAST(rank AS VARCHAR), '] (Intent: ', intent, ', Relevance: ', {_shown('similarity')}, ')', chr(10), 'Customer: ', tweet, chr(10), 'Apple Support Reply: ', apple_reply), concat(chr(10), chr(10)) ORDER BY rank) AS context FROM found GROUP BY query_id",
     "prompt_examples": f"WITH {_CONTEXT} SELECT query_id AS id, {_EXAMPLES} AS examples FROM found GROUP BY query_id",
@@ -381,13 +381,15 @@ FROM idx i JOIN listed l ON i.id = l.query_id""",
     "cosine": "SELECT a.vec_id, round(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) / sqrt(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])) * list_inner_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id = b.vec_id - 1",
     "row_share": f"WITH {_JUDGED} SELECT truth_route AS truth, route AS predicted, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY truth_route) AS share FROM judged GROUP BY truth_route, route",
     "abs_error": f"WITH {_SCORED} SELECT doc_id, abs(human_average_score - average_score) AS gap, abs(human_average_score - average_score) <= 1 AS within_one FROM scored",
-    "normalize_check": f"SELECT len(embedding) AS width, count(*) AS n, CAST(sum(CASE WHEN abs({_LENGTHS} - 1) < 0.001 THEN 1 ELSE 0 END) AS BIGINT) AS n_unit FROM embeddings GROUP BY width",
+    "normalize_check": f"SELECT CAST(len(embedding) AS INTEGER) AS width, count(*) AS n, CAST(sum(CASE WHEN abs({_LENGTHS} - 1) < 0.001 THEN 1 ELSE 0 END) AS BIGINT) AS n_unit FROM embeddings GROUP BY width",
     # decisions and scores
     "route": f"WITH {_CUSTOMERS} SELECT tweet_id, {_decision('tweet', 'intent', 'confidence')} AS decision, {_reason('tweet', 'intent', 'confidence')} AS reason FROM customers",
     "label_escalation": f"WITH {_CUSTOMERS} SELECT tweet_id, {_decision('tweet', 'intent', '0.9')} AS escalate, {_reason('tweet', 'intent', 'CAST(0.9 AS DOUBLE)')} AS reason FROM customers WHERE intent IS NOT NULL",
     "draft_reply": f"WITH {_CONTEXT} SELECT query_id AS id, {_cap('apple_reply', 4)} AS reply FROM found WHERE rank = 1",
     "heuristic_judge": f"WITH {_TEXTS}, m AS (SELECT text_id, {_judge_scores('text')} FROM texts) SELECT *, {_MEAN4} AS average_score FROM m",
     # models
+    "prob_map": "SELECT vec_id, CAST((SELECT count(DISTINCT label) FROM embeddings) AS INTEGER) AS classes, CAST(1 AS DOUBLE) AS total FROM embeddings",
+    "embed": f"SELECT doc_id, 384 AS width, CASE WHEN len({_TOKENS}) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS norm FROM documents",
     "baseline_majority_fit": f"WITH {_MAJORITY} SELECT truth, predicted, truth_route, route, count(*) AS n FROM long_rows GROUP BY truth, predicted, truth_route, route",
     "fit_index": f"WITH {_SPLITS} SELECT CAST(tweet_id AS BIGINT) AS id, tweet, gold_reply AS apple_reply, intent, 384 AS width FROM splits WHERE split = 'train'",
     # composed jobs
