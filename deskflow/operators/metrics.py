@@ -33,7 +33,7 @@ def pair_counts(df: DataFrame, truth: str, predicted: str, weight: str | None =
 
 
 def accuracy(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    return df.agg(F.avg(F.col(truth).eqNullSafe(F.col(predicted)).cast("double")).alias("accuracy"))
+    return df.agg(F.avg(F.coalesce((F.col(truth) == F.col(predicted)).cast("double"), F.lit(0.0))).alias("accuracy"))
 
 
 def sorted_labels(df: DataFrame, truth: str, predicted: str) -> DataFrame:

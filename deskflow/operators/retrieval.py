@@ -57,7 +57,7 @@ def topk_retrieve(
 
 
 def _broadcast_index(index: DataFrame):
-    table = index.orderBy("id").toArrow()
+    table = index.toArrow().sort_by("id")
     ids = table.column("id").to_numpy()
     return index.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix_of(table.column("i_vector")))))
 
@@ -207,7 +207,7 @@ def retrieve_context(
         joined = messages.join(lists, message_id, "left")
         return joined.withColumn("retrieved_context", F.coalesce("retrieved_context", F.array()))
 
-    table = texts.orderBy("id").toArrow()
+    table = texts.toArrow().sort_by("id")
     meta = [table.column(c).combine_chunks() for c in _META]
     shared = messages.sparkSession.sparkContext.broadcast((unit_rows(matrix_of(table.column("i_vector"))), meta))
 

@@ -1,5 +1,6 @@
 """Prediction for tables of messages."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -71,6 +72,11 @@ class SupportAgent:
             F.col("_r.decision").alias("decision"), F.col("_r.reason").alias("reason"), "retrieved_context",
         )
 
+    def predict_texts(self, texts: Sequence[str | None], k: int = fixed.TOP_K) -> DataFrame:
+        """Predict for a few texts at hand; ``message_id`` is the place in the list."""
+        rows = self.index.sparkSession.createDataFrame(list(enumerate(texts)), "message_id long, text string")
+        return self.predict(rows, k)
+
 
 def predict_table(
     agent: SupportAgent, messages: DataFrame, path: str, k: int = fixed.TOP_K, fmt: str = "parquet"

@@ -53,6 +53,11 @@ def test_contract(spark, agent):
     assert rows[2]["tweet"] == "" and rows[3]["tweet"] == "my phone was stolen"
 
 
+def test_predict_texts(agent):
+    rows = agent.predict_texts(["app store trouble", None], k=2).collect()
+    assert [(r["message_id"], len(r["retrieved_context"])) for r in rows] == [(0, 2), (1, 2)]
+
+
 def test_prediction_needs_no_shuffle(spark, agent):
     messages = spark.createDataFrame([(1, "battery issue trouble")], "message_id long, text string")
     plan = agent.predict(messages)._jdf.queryExecution().executedPlan().toString()
