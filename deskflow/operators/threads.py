@@ -61,22 +61,41 @@ def long_enough(df: DataFrame, columns: Sequence[str], chars: int = fixed.MIN_CH
     return df
 
 
-def build_threads(posts: DataFrame, brand: str = fixed.BRAND, min_chars: int = fixed.MIN_CHARS) -> DataFrame:
-    """Cleaned, filtered pairs, one per question text: tweet_id, created_at, tweet, gold_reply."""
+def thread_levels(posts: DataFrame, brand: str = fixed.BRAND, levels: Sequence[int] = (fixed.MIN_CHARS,)) -> DataFrame:
+    """Cleaned pairs, one row per question text, for several minimum lengths in one pass.
+
+    Columns: tweet, and for each level n the struct first_n (created_at, tweet_id, gold_reply) of the first post
+    with that text whose reply has n characters (null when there is none).
+    """
+    chars = min(levels)
     # Cleaning never lengthens a text, so posts too short as written can go before the join.
-    candidates = posts.filter(F.length("text") >= min_chars) if min_chars else posts
+    candidates = posts.filter(F.length("text") >= chars) if chars else posts
     asked = customer_posts(candidates).select("tweet_id", "created_at", "text")
     replies = first_replies(posts, brand).withColumnRenamed("in_response_to_tweet_id", "tweet_id")
-    pairs = asked.join(replies.filter(F.length("gold_reply") >= min_chars), "tweet_id")
+    pairs = asked.join(replies.filter(F.length("gold_reply") >= chars), "tweet_id")
     cleaned = compute_once(
         pairs.select("tweet_id", "created_at", "text", F.col("gold_reply").alias("answer")),
         tweet=clean_text(F.col("text")), gold_reply=clean_text(F.col("answer")),
     ).drop("text", "answer")
     # Cleaned text is pure ASCII: of the mostly-ASCII test only its minimum of 5 characters is left.
-    kept = long_enough(cleaned, ["tweet", "gold_reply"], max(min_chars, 5))
-    return keep_first(kept, "tweet", ["created_at", "tweet_id"]).select(
-        "tweet_id", "created_at", "tweet", "gold_reply"
-    )
+    kept = long_enough(cleaned, ["tweet", "gold_reply"], max(chars, 5))
+    post = F.struct("created_at", "tweet_id", "gold_reply")
+    return kept.groupBy("tweet").agg(*[
+        F.min(F.when(F.length("gold_reply") >= n, post)).alias(f"first_{n}") for n in levels
+    ])
+
+
+def threads_at(levels: DataFrame, chars: int) -> DataFrame:
+    """The threads of one minimum length: the other columns of the table, tweet_id, created_at, gold_reply."""
+    others = [c for c in levels.columns if not c.startswith("first_")]
+    first = F.col(f"first_{chars}")
+    long = levels.filter((F.length("tweet") >= chars) & first.isNotNull())
+    return long.select(*others, *[first[c].alias(c) for c in ("tweet_id", "created_at", "gold_reply")])
+
+
+def build_threads(posts: DataFrame, brand: str = fixed.BRAND, min_chars: int = fixed.MIN_CHARS) -> DataFrame:
+    """Cleaned, filtered pairs, one per question text: tweet, tweet_id, created_at, gold_reply."""
+    return threads_at(thread_levels(posts, brand, (min_chars,)), min_chars)
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:

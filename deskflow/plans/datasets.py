@@ -10,7 +10,7 @@ from deskflow.functions.judging import human_mean
 from deskflow.functions.routing import label_escalation, weak_intent
 from deskflow.operators.holdout import used_texts, without_used
 from deskflow.operators.sampling import cap_splits, random_rows, stratified_sample, stratified_split, topped_up_sample
-from deskflow.operators.threads import build_threads
+from deskflow.operators.threads import thread_levels, threads_at
 from deskflow.sources.stage import stage
 
 EVALUATION_COLUMNS = ("tweet_id", "tweet", "intent", "gold_reply", "escalate", "reason")
@@ -27,17 +27,17 @@ def with_truth_route(df: DataFrame) -> DataFrame:
     return routed.withColumn("escalate", F.col("_r.decision")).withColumn("reason", F.col("_r.reason")).drop("_r")
 
 
+def thread_table(posts: DataFrame, brand: str = fixed.BRAND) -> DataFrame:
+    """Labelled threads for all data sets, built and written once: posts are cleaned, joined and grouped one time."""
+    levels = thread_levels(posts, brand, (fixed.MIN_CHARS, fixed.GOLDEN_MIN_CHARS))
+    return stage(label_intents(levels), "threads")
+
+
 def build_splits(
-    posts: DataFrame,
-    brand: str = fixed.BRAND,
-    totals: Sequence[int] = fixed.SPLIT_TOTALS,
-    seed: int = fixed.SEED,
+    threads: DataFrame, totals: Sequence[int] = fixed.SPLIT_TOTALS, seed: int = fixed.SEED
 ) -> DataFrame:
-    """Train, validation and test rows in one table with column ``split``; test rows carry their routing.
-
-    The labelled threads are read twice (class sizes, then the split), so they are staged once.
-    """
-    labelled = stage(label_intents(build_threads(posts, brand)).drop("created_at"), "labelled")
+    """Train, validation and test rows of a thread table, with column ``split``; test rows carry their routing."""
+    labelled = threads_at(threads, fixed.MIN_CHARS).drop("created_at")
     splits = stratified_split(labelled, classes=fixed.INTENTS, seed=seed)
     capped = cap_splits(splits, totals=dict(zip(fixed.SPLITS, totals)), seed=seed)
     test = F.col("split") == "test"
@@ -51,34 +51,29 @@ def split_of(splits: DataFrame, name: str) -> DataFrame:
     return splits.filter(F.col("split") == name).drop("split")
 
 
+def _unused(threads: DataFrame, used: Sequence[DataFrame], chars: int) -> DataFrame:
+    pool = threads_at(threads, chars)
+    return without_used(pool, used_texts(*used)) if used else pool
+
+
 def build_golden(
-    posts: DataFrame,
+    threads: DataFrame,
     *used: DataFrame,
-    brand: str = fixed.BRAND,
     per_class: int = fixed.GOLDEN_PER_CLASS,
     total: int = fixed.GOLDEN_TOTAL,
     seed: int = fixed.SEED,
 ) -> DataFrame:
-    """Balanced holdout sample of longer threads, none of them in the ``used`` frames."""
-    threads = build_threads(posts, brand, fixed.GOLDEN_MIN_CHARS)
-    pool = without_used(threads, used_texts(*used)) if used else threads
-    labelled = stage(label_intents(pool), "golden-pool")
-    sample = topped_up_sample(labelled, per_class, total, seed=seed)
+    """Balanced holdout sample of the longer threads of a thread table, none of them in the ``used`` frames."""
+    sample = topped_up_sample(_unused(threads, used, fixed.GOLDEN_MIN_CHARS), per_class, total, seed=seed)
     return with_truth_route(sample).select(*EVALUATION_COLUMNS)
 
 
 def build_fresh_test(
-    posts: DataFrame,
-    *used: DataFrame,
-    brand: str = fixed.BRAND,
-    total: int = fixed.FRESH_TOTAL,
-    seed: int = fixed.SEED,
+    threads: DataFrame, *used: DataFrame, total: int = fixed.FRESH_TOTAL, seed: int = fixed.SEED
 ) -> DataFrame:
-    """Second balanced test sample, none of it in the ``used`` frames."""
-    threads = build_threads(posts, brand)
-    pool = without_used(threads, used_texts(*used)) if used else threads
+    """Second balanced test sample of a thread table, none of it in the ``used`` frames."""
     per_class = total // len(fixed.INTENTS) + 5
-    sample = stratified_sample(label_intents(pool), per_class, total, seed=seed)
+    sample = stratified_sample(_unused(threads, used, fixed.MIN_CHARS), per_class, total, seed=seed)
     return with_truth_route(sample).select(*EVALUATION_COLUMNS)
 
 

@@ -1,9 +1,11 @@
 """The whole run: data sets, model, index, evaluation."""
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 
 from deskflow import fixed
-from deskflow.plans.datasets import build_golden, build_splits, split_of
+from deskflow.plans.datasets import build_golden, build_splits, split_of, thread_table
 from deskflow.plans.evaluate import evaluate_agent
 from deskflow.plans.predict import SupportAgent
 from deskflow.sources.sinks import sink_metrics, sink_predictions
@@ -19,9 +21,10 @@ def run_all(
     that are there already are reused unless ``overwrite``.
     """
     spark = posts.sparkSession
-    splits = stage_skip(spark, f"{folder}/splits", lambda: build_splits(posts, brand), overwrite)
+    threads = cache(lambda: thread_table(posts, brand))
+    splits = stage_skip(spark, f"{folder}/splits", lambda: build_splits(threads()), overwrite)
     train, validation = split_of(splits, "train"), split_of(splits, "validation")
-    golden = stage_skip(spark, f"{folder}/golden", lambda: build_golden(posts, train, validation, brand=brand), overwrite)
+    golden = stage_skip(spark, f"{folder}/golden", lambda: build_golden(threads(), train, validation), overwrite)
     try:
         if overwrite:
             raise FileNotFoundError

@@ -92,7 +92,7 @@ def sink_predictions(spark, sf):
 @query
 def sink_splits(spark, sf):
     path = stage.new_path(spark, "splits")
-    sinks.sink_splits(datasets.build_splits(posts(spark, sf), BRAND), path)
+    sinks.sink_splits(datasets.build_splits(thread_table(spark, sf)), path)
     return spark.read.parquet(path).select("split", "tweet_id", "tweet", "gold_reply", "intent")
 
 
@@ -173,6 +173,10 @@ def thread_rows(spark: SparkSession, sf: str) -> DataFrame:
     return datasets.label_intents(threads.build_threads(posts(spark, sf), BRAND))
 
 
+def thread_table(spark: SparkSession, sf: str) -> DataFrame:
+    return datasets.thread_table(posts(spark, sf), BRAND)
+
+
 @query
 def project_thread(spark, sf):
     return thread_rows(spark, sf).select("tweet", "gold_reply", "intent")
@@ -319,7 +323,7 @@ def human_agreement(spark, sf):
 
 @query
 def baseline_majority(spark, sf):
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
+    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
     return rounded(metrics.majority_baseline(datasets.split_of(splits, "train"), datasets.split_of(splits, "test")),
                    "intent_macro_f1")
 
@@ -655,7 +659,7 @@ def rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def fitted(spark: SparkSession, sf: str) -> tuple[predict.SupportAgent, DataFrame]:
     """Agent fitted on the training split, and the splits."""
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
+    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
     return predict.SupportAgent.fit(datasets.split_of(splits, "train")), splits
 
 
@@ -669,7 +673,7 @@ def embed(spark, sf):
 
 @query
 def train_intent(spark, sf):
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
+    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
     train, validation = datasets.split_of(splits, "train"), datasets.split_of(splits, "validation")
     encoder = models.TextEncoder.fit(train)
     model = models.IntentClassifier.fit(encoder.encode(train))
@@ -687,21 +691,21 @@ def predict_intent(spark, sf):
 
 @query
 def baseline_tfidf_svm(spark, sf):
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
+    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
     rows = evaluate.svm_predictions(datasets.split_of(splits, "train"), datasets.split_of(splits, "test"))
     return metrics.compare_models(rows.withColumn("model", F.lit("tfidf_svm")))
 
 
 @query
 def baseline_majority_fit(spark, sf):
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
+    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
     rows = metrics.majority_predictions(datasets.split_of(splits, "train"), datasets.split_of(splits, "test"))
     return metrics.score_distribution(rows, "truth", "predicted", "truth_route", "route")
 
 
 @query
 def fit_index(spark, sf):
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
+    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
     train = datasets.split_of(splits, "train")
     index = predict.vector_table(models.TextEncoder.fit(train), train)
     return index.select("id", "tweet", "apple_reply", "intent", F.size("embedding").alias("width"))
@@ -737,18 +741,19 @@ def build_threads(spark, sf):
 
 @query
 def build_splits(spark, sf):
-    return datasets.build_splits(posts(spark, sf), BRAND)
+    return datasets.build_splits(thread_table(spark, sf))
 
 
-def golden_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    splits = stage.stage(datasets.build_splits(posts(spark, sf), BRAND), "splits")
-    used = splits.filter("split <> 'test'")
-    return splits, datasets.build_golden(posts(spark, sf), used, brand=BRAND)
+def golden_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Thread table, splits, golden set."""
+    table = thread_table(spark, sf)
+    splits = stage.stage(datasets.build_splits(table), "splits")
+    return table, splits, datasets.build_golden(table, splits.filter("split <> 'test'"))
 
 
 @query
 def build_golden(spark, sf):
-    return golden_rows(spark, sf)[1]
+    return golden_rows(spark, sf)[2]
 
 
 @query
@@ -757,14 +762,14 @@ def build_review(spark, sf):
     scores = derived.table(spark, sf, "events").select(
         n.cast("string").alias("tweet_id"),
         *[(4 + (n + i) % 2).cast("int").alias(f"human_{name}") for i, name in enumerate(fixed.RUBRIC)])
-    return datasets.build_review(golden_rows(spark, sf)[1], scores).select(
+    return datasets.build_review(golden_rows(spark, sf)[2], scores).select(
         "tweet_id", *[f"human_{name}" for name in fixed.RUBRIC], "human_average_score")
 
 
 @query
 def build_test(spark, sf):
-    splits, golden = golden_rows(spark, sf)
-    return datasets.build_fresh_test(posts(spark, sf), splits.filter("split <> 'test'"), golden, brand=BRAND)
+    table, splits, golden = golden_rows(spark, sf)
+    return datasets.build_fresh_test(table, splits.filter("split <> 'test'"), golden)
 
 
 @query

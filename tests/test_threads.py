@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from deskflow.operators.holdout import split_overlap, used_texts, without_used
 from deskflow.operators.sampling import cap_splits, first_per_class, random_rows, stratified_split, topped_up_sample
-from deskflow.operators.threads import build_threads, dedupe_text, first_replies, keep_first, thread_pairs, turn_pairs
+from deskflow.operators.threads import build_threads, dedupe_text, first_replies, keep_first, thread_levels, thread_pairs, threads_at, turn_pairs
 from deskflow.schemas import POSTS
 
 
@@ -45,6 +45,20 @@ def test_threads_filter_and_first(spark):
     assert [(r["tweet_id"], r["tweet"], r["gold_reply"]) for r in rows] == [("2", LONG, REPLY)]
 
 
+def test_levels_in_one_pass(spark):
+    p = posts(spark, [
+        ("1", "u", "true", "a", LONG, None), ("2", "u", "true", "b", LONG, None), ("3", "u", "true", "a", "just twenty one chars", None),
+        ("r1", "AppleSupport", "f", "z", "only twenty-one chars", "1"), ("r2", "AppleSupport", "f", "z", REPLY, "2"),
+        ("r3", "AppleSupport", "f", "z", REPLY, "3"),
+    ])
+    table = thread_levels(p, levels=(20, 25))
+    at = lambda n: sorted((r["tweet_id"], r["gold_reply"]) for r in threads_at(table, n).collect())
+    assert at(20) == [("1", "only twenty-one chars"), ("3", REPLY)]
+    assert at(25) == [("2", REPLY)]
+    for n in (20, 25):
+        assert at(n) == sorted((r["tweet_id"], r["gold_reply"]) for r in build_threads(p, min_chars=n).collect())
+
+
 def test_hot_key_is_combined_before_the_shuffle(spark):
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
