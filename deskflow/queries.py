@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from deskflow import fixed, schemas
 from deskflow.functions import judging, replies, routing, text as tx, vectors as vec
@@ -449,8 +449,6 @@ def review_sample(spark, sf):
 def topk_per_query(spark, sf):
     """The k best rows per group by a score, the ranking step on its own: dearest orders per customer."""
     orders = derived.table(spark, sf, "orders")
-    from pyspark.sql import Window as W
-
     rank = F.row_number().over(W.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))
     return orders.select("o_custkey", "o_orderkey", "o_totalprice", rank.alias("rank")).filter(
         F.col("rank") <= fixed.TOP_K)
