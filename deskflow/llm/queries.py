@@ -3,8 +3,9 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deskflow.llm import bpe, decontaminate, language, licence, simhash, tokencount
+from deskflow.llm import bpe, chat, decontaminate, language, licence, repeats, simhash, sketch, tokencount, warc
 from deskflow.llm.common import table
+from deskflow.sources.stage import stage
 
 
 def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,17 +32,42 @@ def op2_licences(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("places", lambda p: p["share"])), F.lit(0.0)).alias("score"))
 
 
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    found = warc.archive(table(spark, sf, "pages"))
+    return found.select(
+        F.col("page").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
+        F.col("type").alias("record_type"), "refers_to")
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
+def op5_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    found = sketch.edited_fingerprints(table(spark, sf, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        sketch.as_text(F.col("sketch")).alias("fingerprint"),
+        sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next", "kept_share",
+        "n_shingles")
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     found = tokencount.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op8_chat(spark: SparkSession, sf: str) -> DataFrame:
+    spoken = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(
+        [(-1, 0, "user", spoken), (-1, 1, "assistant", spoken)], "conv_id long, turn long, role string, text string"))
+    written = stage(chat.formatted(chat.turns_from_rows(rows)), "chat")
+    return chat.read_back(written).withColumnRenamed("conv", "conv_id")
+
+
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     found = bpe.encode_decode(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -52,5 +78,12 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_licences": op2_licences, "op7_language": op7_language,
-           "op4_simhash": op4_simhash, "op6_token_counts": op6_token_counts, "op9_bpe": op9_bpe}
+def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_licences": op2_licences, "op3_warc": op3_warc,
+           "op4_simhash": op4_simhash, "op5_sketch": op5_sketch, "op6_token_counts": op6_token_counts,
+           "op7_language": op7_language, "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_repeats": op10_repeats}

@@ -20,7 +20,7 @@ import sys
 import numpy as np
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow.llm.common import components, per_text, texts_of
 from deskflow.sources.stage import stage
@@ -55,9 +55,15 @@ def _fingerprints(width: int, seed: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                  seed: int = 42) -> DataFrame:
-    """(id, f): the fingerprint of every row as a signed 64-bit number."""
+    """(id, key, f): the fingerprint of every row as a signed 64-bit number; ``key`` is a digest of id and text."""
     rows = texts_of(docs, id_col, text_col)
-    return rows.select("id", per_text(lambda: _fingerprints(width, seed), "f long", F.col("text"))["f"].alias("f"))
+    f = per_text(lambda: _fingerprints(width, seed), "f long", F.col("text"))["f"]
+    return rows.select("id", _key(F.col("id"), F.col("text")).alias("key"), f.alias("f"))
+
+
+def _key(row_id: Column, text: Column) -> Column:
+    digest = F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+    return F.md5(F.concat(F.coalesce(row_id.cast("string"), F.lit("-")), F.lit(":"), digest).cast("binary"))
 
 
 def links(distinct: DataFrame, bucket: int = 256) -> DataFrame:
@@ -86,6 +92,16 @@ def links(distinct: DataFrame, bucket: int = 256) -> DataFrame:
     return pairs.union(stars.select("a", "b"))
 
 
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+            bucket: int = 256) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, key, f), and (f, least, root) of each distinct fingerprint, the root being the same in a component."""
+    rows = stage(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    # A hot group of copies is one row per task before the shuffle.
+    distinct = stage(rows.groupBy("f").agg(F.min("id").alias("least")), "distinct")
+    found = components(links(distinct.select("f"), bucket)).withColumnRenamed("node", "f")
+    return rows, stage(distinct.join(found, "f", "left").withColumn("root", F.coalesce("root", "f")), "roots")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     bucket: int = 256) -> DataFrame:
     """(id, f, component): every row with its fingerprint and the smallest id of its component.
@@ -93,22 +109,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null text: fingerprint zero, linked like any other.  A null id never names a component, unless all ids of
     it are null.  Repeated rows stay repeated.  An empty table gives no rows.
     """
-    rows = stage(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    # A hot group of copies is one row per task before the shuffle.
-    distinct = stage(rows.groupBy("f").agg(F.min("id").alias("least")), "distinct")
-    found = components(links(distinct.select("f"), bucket)).withColumnRenamed("node", "f")
-    grouped = distinct.join(found, "f", "left").withColumn("root", F.coalesce("root", "f"))
-    named = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    member = stage(grouped.select("f", "root").join(named, "root").select("f", "component"), "components")
-    return rows.join(member, "f").select("id", "f", "component")
+    rows, roots = grouped(docs, id_col, text_col, width, bucket)
+    named = roots.groupBy("root").agg(F.min("least").alias("component"))
+    return rows.join(roots.join(named, "root").select("f", "component"), "f").select("id", "f", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = 256) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component those with its smallest id.
-
-    Of repeated rows with that id one stays.
-    """
-    member = near_duplicates(docs, id_col, text_col, bucket=bucket)
-    keep = member.groupBy("component").agg(F.count("*")).select(F.col("component").alias("_kept_id"))
-    stay = docs.join(keep, docs[f"`{id_col}`"].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return stay.dropDuplicates([id_col])
+    """One row of ``docs`` per component: that with the smallest id (null ids last), of equal ids that of the smallest
+    digest, of repeated rows any."""
+    rows, roots = grouped(docs, id_col, text_col, bucket=bucket)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key")))
+    # First per fingerprint, so that copies are united before components are.
+    best = rows.groupBy("f").agg(first.alias("best")).join(roots, "f").groupBy("root").agg(F.min("best").alias("best"))
+    keep = best.select(F.col("best.key").alias("_key"))
+    # The columns travel as one, so that none can clash with the key.
+    keyed = docs.select(F.struct("*").alias("_row"), _key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")).alias(
+        "_key"))
+    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

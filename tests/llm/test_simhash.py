@@ -89,3 +89,15 @@ def test_query_and_keep_one(spark, docs):
     kept = simhash.keep_one(docs.union(docs.limit(20)).withColumn("component", F.lit(1)))
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
     assert kept.columns == [*docs.columns, "component"]
+
+
+def test_keep_one_of_odd_rows(odd):
+    rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
+    prints = [(i, brute_fingerprint(t)) for i, (_, t) in enumerate(rows)]
+    groups = {}
+    for (d, _), c in zip(rows, brute_components(prints)):
+        groups.setdefault(c, []).append(d)
+    want = [min((d for d in g if d is not None), default=None) for g in groups.values()]
+    kept = simhash.keep_one(odd)
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert kept.columns == odd.columns and simhash.keep_one(odd.limit(0)).count() == 0
