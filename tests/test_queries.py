@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import compare, connect
+from deskflow.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,9 +32,9 @@ SLOW = {"baseline_tfidf_svm", "compare_baselines", "evaluate_model", "train_inte
         "prob_map", "run_all", "evaluate_agent", "model_save_load", "predict_intent"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     if name in oracle_sql():
