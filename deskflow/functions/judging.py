@@ -28,14 +28,16 @@ def heuristic_scores(reply: Column, limit: int = fixed.MAX_REPLY_WORDS) -> Colum
 
 
 def parse_judge_answer(answer: Column, reply: Column) -> Column:
-    """Scores of a JSON answer: a missing score is 4; an unreadable answer gets the heuristic scores."""
+    """Scores of a JSON answer: a missing score is 4; an unreadable answer, or one with a score that is null or no number,
+    gets the heuristic scores."""
     fields = ", ".join([f"{n} string" for n in schemas.JUDGE_ANSWER.names] + [f"{_BROKEN} string"])
     parsed = F.from_json(answer, fields, {"columnNameOfCorruptRecord": _BROKEN})
     numbers = {}
     unreadable = answer.isNull() | parsed[_BROKEN].isNotNull()
+    given = F.coalesce(F.json_object_keys(answer), F.array().cast("array<string>"))
     for name in fixed.RUBRIC:
         number = parsed[name].try_cast("double")
-        unreadable = unreadable | (parsed[name].isNotNull() & number.isNull())
+        unreadable = unreadable | (F.array_contains(given, name) & number.isNull())
         numbers[name] = F.coalesce(number.cast("int"), F.lit(4))
     return F.when(unreadable, heuristic_scores(reply)).otherwise(_scored(numbers, parsed["explanation"]))
 

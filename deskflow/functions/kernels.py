@@ -56,5 +56,15 @@ def best_rows(queries: np.ndarray, index: np.ndarray, k: int) -> tuple[np.ndarra
     return np.vstack(places), np.vstack(scores)
 
 
+def merge_best(places: np.ndarray, scores: np.ndarray, more: np.ndarray, more_scores: np.ndarray, order: np.ndarray,
+               k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of two lists per row; ``order`` ranks what the places name, and the lower one wins a tie."""
+    places, scores = np.hstack([places, more]), np.hstack([scores, more_scores])
+    n = len(order)
+    keys = np.rint(scores * SCALE).astype(np.int64) * n + (n - 1 - order[places])
+    best = np.argsort(-keys, axis=1, kind="stable")[:, :k]
+    return np.take_along_axis(places, best, axis=1), np.take_along_axis(scores, best, axis=1)
+
+
 def list_array(values: pa.Array, width: int, rows: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), values)

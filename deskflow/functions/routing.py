@@ -12,7 +12,18 @@ from deskflow.functions.text import WORD_CLASS, fixed_point
 def weak_intent(c: Column, rules: Sequence[tuple[str, str]] = fixed.INTENT_RULES) -> Column:
     """First rule, in priority order, with a phrase in the text; null when none has."""
     lowered = F.lower(c)
-    return F.coalesce(*[F.when(lowered.rlike(rf"\b({phrases})\b"), F.lit(intent)) for intent, phrases in rules])
+    return F.coalesce(*[F.when(lowered.rlike(whole_words(phrases)), F.lit(intent)) for intent, phrases in rules])
+
+
+def whole_words(phrases: str) -> str:
+    """Pattern of phrases (alternatives divided by bars) as whole words.
+
+    A place whose character begins none of the phrases is passed over without trying each of them.
+    """
+    parts = phrases.split("|")
+    plain = all(p and p[0].isalnum() and p[1:2] not in ("?", "*", "{") for p in parts) and "(" not in phrases
+    guard = f"(?=[{''.join(sorted({p[0] for p in parts}))}])" if plain else ""
+    return rf"\b{guard}(?:{phrases})\b"
 
 
 def match_keyword(c: Column, keywords: Sequence[str] = fixed.RISKY_KEYWORDS) -> Column:

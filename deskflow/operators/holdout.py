@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from deskflow.functions.text import text_key
 
 
+def used_keys(*frames: DataFrame, column: str = "tweet") -> DataFrame:
+    """Digests of the texts of the given frames, repeated ones included: an anti-join needs no distinct."""
+    keys = [f.filter(F.col(column).isNotNull()).select(text_key(F.col(column)).alias("_key")) for f in frames]
+    return reduce(DataFrame.unionByName, keys)
+
+
 def used_texts(*frames: DataFrame, column: str = "tweet") -> DataFrame:
     """Distinct non-null texts of the given frames."""
     texts = [f.select(column).filter(F.col(column).isNotNull()) for f in frames]
@@ -14,13 +20,13 @@ def used_texts(*frames: DataFrame, column: str = "tweet") -> DataFrame:
 
 
 def without_used(pool: DataFrame, used: DataFrame, column: str = "tweet") -> DataFrame:
-    """Rows of the pool whose text is not in ``used``; a null text is kept.
+    """Rows of the pool whose text is not in ``used`` (texts, or keys of ``used_keys``); a null text is kept.
 
     Joined on a digest: ``used`` is 32 bytes a row, and pool texts nobody reads later are not shuffled.  No
     broadcast hint: Spark broadcasts ``used`` when its measured size allows, and otherwise joins by sort-merge
     with skew handling on the pool side.
     """
-    keys = used.select(text_key(F.col(column)).alias("_key"))
+    keys = used if used.columns == ["_key"] else used.select(text_key(F.col(column)).alias("_key"))
     return pool.withColumn("_key", text_key(F.col(column))).join(keys, "_key", "left_anti").drop("_key")
 
 

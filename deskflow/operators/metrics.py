@@ -36,10 +36,15 @@ def accuracy(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return df.agg(F.avg(F.coalesce((F.col(truth) == F.col(predicted)).cast("double"), F.lit(0.0))).alias("accuracy"))
 
 
-def sorted_labels(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    """Distinct labels of either column."""
+def label_union(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+    """Distinct labels of either column, from one pass over the rows."""
     pairs = pair_counts(df, truth, predicted)
-    return pairs.select(F.explode(F.array("truth", "predicted")).alias("label")).distinct().orderBy("label")
+    return pairs.select(F.explode(F.array("truth", "predicted")).alias("label")).distinct()
+
+
+def sorted_labels(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+    """``label_union`` in order."""
+    return label_union(df, truth, predicted).orderBy("label")
 
 
 def per_label(pairs: DataFrame) -> DataFrame:
@@ -121,9 +126,9 @@ def escalation_scores(df: DataFrame, truth: str, predicted: str, weight: str | N
     return binary_prf(df, is_escalated(F.col(truth)), is_escalated(F.col(predicted)), n)
 
 
-def class_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def class_report(df: DataFrame, truth: str, predicted: str, weight: str | None = None) -> DataFrame:
     """Per label scores, then the rows accuracy, macro avg and weighted avg."""
-    pairs = pair_counts(df, truth, predicted)
+    pairs = pair_counts(df, truth, predicted, weight)
     labels = per_label(pairs)
     hit = F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0)
     overall = pairs.agg(_ratio(F.sum(hit), F.sum("n")).alias("s"), F.sum("n").alias("support")).select(
@@ -161,14 +166,6 @@ def confusion_matrix(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return filled.select("truth", "predicted", n.alias("n"), _ratio(n, total).alias("share"))
 
 
-def model_scores(model: str, df: DataFrame, truth: str, predicted: str, truth_route: str, route: str) -> DataFrame:
-    """One comparison row of a model from predictions with truth."""
-    return compare_models(df.select(
-        F.lit(model).alias("model"), F.col(truth).alias("truth"), F.col(predicted).alias("predicted"),
-        F.col(truth_route).alias("truth_route"), F.col(route).alias("route"),
-    ))
-
-
 def compare_models(predictions: DataFrame) -> DataFrame:
     """One row per model from a long table (model, truth, predicted, truth_route, route), in one pass."""
     counts = predictions.groupBy(

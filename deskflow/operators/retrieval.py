@@ -6,9 +6,9 @@ Two plans with the same result:
 
 * ``topk_small``  The index fits a checked number of bytes: it is sent to all tasks once and the queries are
   scored where they are read.  No shuffle.
-* ``topk_large``  Any index size.  The vectors are divided among pivots; a query visits only the cells that
-  can hold a better neighbour than a sample already gave (triangle inequality on angles), cells are divided
-  into blocks of bounded size, and each block returns k rows per query.
+* ``topk_large``  Any index size.  The smaller side, queries or index, goes to all tasks in chunks of a bounded number
+  of bytes, one chunk at a time; the larger side stays where it is read.  Every task keeps the k best per query
+  of what it has seen, so only those cross the shuffle.
 """
 
 import math
@@ -16,19 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_type
 
 from deskflow import fixed
-from deskflow.functions.kernels import SCALE, best_rows, list_array, matrix_of, unit_rows
+from deskflow.functions.kernels import best_rows, list_array, matrix_of, merge_best, unit_rows
 from deskflow.functions.vectors import norm
-from deskflow.operators.sampling import random_rows
 from deskflow.sources.stage import stage
 
 SMALL_INDEX_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 8192
-MAX_PIVOTS = 256
-SAMPLE_ROWS = 4096
+CHUNK_BYTES = 64 * 1024 * 1024
 _META = ("tweet", "apple_reply", "intent")
 
 
@@ -56,124 +55,100 @@ def topk_retrieve(
     return topk_large(narrow_q, narrow_i, k)
 
 
-def _broadcast_index(index: DataFrame):
+def _in_order(index: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Ids and unit vectors of a table of checked size, by id."""
     table = index.toArrow().sort_by("id")
-    ids = table.column("id").to_numpy()
-    return index.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix_of(table.column("i_vector")))))
+    return table.column("id").combine_chunks(), unit_rows(matrix_of(table.column("i_vector")))
 
 
-def topk_small(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """Search in an index of checked size."""
-    shared = _broadcast_index(index)
-
-    @arrow_udf("array<struct<id: bigint, similarity: double>>")
+def _nearest(shared, k: int, id_type: pa.DataType):
+    """Arrow function from vectors to lists of their nearest index rows."""
     def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, rows = shared.value
         for batch in batches:
             places, scores = best_rows(unit_rows(matrix_of(batch)), rows, k)
             found = pa.StructArray.from_arrays(
-                [pa.array(ids[places].ravel(), pa.int64()), pa.array(scores.ravel())], ["id", "similarity"])
+                [ids.take(pa.array(places.ravel(), pa.int64())).cast(id_type), pa.array(scores.ravel(), pa.float64())],
+                ["id", "similarity"])
             yield list_array(found, places.shape[1], len(batch))
 
+    return nearest
+
+
+def topk_small(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """Search in an index of checked size."""
+    kind = index.schema["id"].dataType
+    shared = index.sparkSession.sparkContext.broadcast(_in_order(index))
+    nearest = arrow_udf(_nearest(shared, k, to_arrow_type(kind)), f"array<struct<id: {kind.simpleString()}, similarity: double>>")
     hits = queries.select("query_id", F.posexplode(nearest("q_vector")).alias("rank", "hit"))
     return hits.select("query_id", (F.col("rank") + 1).alias("rank"), "hit.id", "hit.similarity")
 
 
-def topk_large(
-    queries: DataFrame,
-    index: DataFrame,
-    k: int,
-    block_rows: int = BLOCK_ROWS,
-    max_pivots: int = MAX_PIVOTS,
-    sample_rows: int = SAMPLE_ROWS,
-) -> DataFrame:
-    """Search in an index of any size."""
-    spark = index.sparkSession
-    sample = random_rows(index, sample_rows, "id").toArrow()
-    if sample.num_rows == 0:
-        return topk_small(queries, index, k)
-    sample_matrix = unit_rows(matrix_of(sample.column("i_vector")))
-    pivots = sample_matrix[:max_pivots]
-    shared = spark.sparkContext.broadcast((sample_matrix, pivots))
-
-    @arrow_udf("struct<cell: int, angle: double>")
-    def nearest_pivot(vectors: pa.Array) -> pa.Array:
-        angles = np.arccos(np.clip(unit_rows(matrix_of(vectors)) @ shared.value[1].T, -1, 1))
-        cell = angles.argmin(axis=1)
-        return pa.StructArray.from_arrays(
-            [pa.array(cell, pa.int32()), pa.array(angles[np.arange(len(cell)), cell])], ["cell", "angle"])
-
-    placed = stage(
-        index.withColumn("_p", nearest_pivot("i_vector")).select("id", "i_vector", "_p.cell", "_p.angle"), "cells"
-    )
-    # At most one row per pivot.
-    cells = placed.groupBy("cell").agg(
-        F.count("*").alias("n"), F.min("angle").alias("lo"), F.max("angle").alias("hi")
-    ).toArrow()
-    size, lo, hi = np.zeros(len(pivots)), np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-    which = cells.column("cell").to_numpy()
-    size[which], lo[which], hi[which] = (cells.column(c).to_numpy() for c in ("n", "lo", "hi"))
-    used = np.flatnonzero(size)
-
-    @arrow_udf("array<int>")
-    def cells_to_visit(vectors: pa.Array) -> pa.Array:
-        sampled, centres = shared.value
-        rows = unit_rows(matrix_of(vectors))
-        # The k-th best of any part of the index is a lower bound of the k-th best of all.
-        _, scores = best_rows(rows, sampled, k)
-        floor = scores[:, -1] if len(sampled) >= k else np.full(len(rows), -1.0)
-        angles = np.arccos(np.clip(rows @ centres.T, -1, 1))[:, used]
-        nearest = np.maximum(np.maximum(angles - hi[used], lo[used] - angles), 0.0)
-        visit = np.cos(np.minimum(nearest, math.pi)) >= floor[:, None] - 4.0 / SCALE
-        # A zero vector is at no angle to anything.
-        visit |= ~rows.any(axis=1)[:, None]
-        return pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], visit.sum(axis=1).cumsum()]), pa.int32()),
-            pa.array(used[np.nonzero(visit)[1]], pa.int32()))
-
-    visits = stage(queries.withColumn("cells", cells_to_visit("q_vector")), "visits")
-    # At most one row per pivot.
-    load = {r["cell"]: r["n"] for r in visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(
-        F.count("*").alias("n")).collect()}
-
-    def parts(counts: dict[int, int]) -> Column:
-        per_cell = [max(1, math.ceil(counts.get(c, 0) / block_rows)) for c in range(len(pivots))]
-        return F.get(F.array(*[F.lit(p) for p in per_cell]), F.col("cell"))
-
-    index_parts = parts({int(c): int(size[c]) for c in used})
-    query_parts = parts(load)
-    visits = visits.select("query_id", "q_vector", F.explode("cells").alias("cell"))
-    asked = visits.withColumn("q_part", F.pmod(F.xxhash64("query_id"), query_parts)).withColumn(
-        "i_part", F.explode(F.sequence(F.lit(0), index_parts - 1))
-    ).withColumn("i_part", F.col("i_part").cast("long"))
-    offered = placed.select("id", "i_vector", "cell").withColumn(
-        "i_part", F.pmod(F.xxhash64("id"), index_parts)
-    ).withColumn("q_part", F.explode(F.sequence(F.lit(0), query_parts - 1))).withColumn(
-        "q_part", F.col("q_part").cast("long")
-    )
-
-    out_type = queries.schema["query_id"].dataType.simpleString()
-
-    def search_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("id")
-        places, scores = best_rows(
-            unit_rows(matrix_of(left.column("q_vector"))), unit_rows(matrix_of(right.column("i_vector"))), k)
-        rows = np.repeat(np.arange(len(left)), places.shape[1])
-        return pa.table({
-            "query_id": left.column("query_id").take(pa.array(rows)),
-            "id": pa.array(right.column("id").to_numpy()[places.ravel()], pa.int64()),
-            "similarity": pa.array(scores.ravel(), pa.float64()),
-        })
-
-    keys = ["cell", "i_part", "q_part"]
-    found = asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(
-        search_block, f"query_id {out_type}, id bigint, similarity double"
-    )
-    best_first = W.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
+def topk_large(queries: DataFrame, index: DataFrame, k: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Search in an index of any size; ``query_id`` names a query and is not null."""
+    q_bytes, i_bytes = index_bytes(queries, "q_vector"), index_bytes(index, "i_vector")
+    by_queries = q_bytes < i_bytes
+    chunked, key = (queries, "query_id") if by_queries else (index, "id")
+    # Measured sizes; rows are dealt by hash, so a chunk is of about the size asked for.
+    chunks = max(1, math.ceil(min(q_bytes, i_bytes) / chunk_bytes))
+    vector = "q_vector" if by_queries else "i_vector"
+    dealt = chunked if chunks == 1 else stage(
+        chunked.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), vector), F.lit(chunks))),
+        "chunks")
+    parts = []
+    for c in range(chunks):
+        part = chunked if chunks == 1 else dealt.filter(F.col("chunk") == c).drop("chunk")
+        parts.append(_by_queries(part, index, k) if by_queries else _by_index(queries, part, k))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionAll(p)
+    best_first = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.col("id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "similarity")
 
 
+def _by_index(queries: DataFrame, part: DataFrame, k: int) -> DataFrame:
+    """The k best of one chunk of the index for each query, where the query is read."""
+    return topk_small(queries, part, k).select("query_id", "id", "similarity")
+
+
+def _by_queries(part: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """The k best that each task finds in its share of the index for one chunk of queries."""
+    table = part.select("query_id", "q_vector").toArrow()
+    names = table.column("query_id").combine_chunks()
+    shared = index.sparkSession.sparkContext.broadcast((names, unit_rows(matrix_of(table.column("q_vector")))))
+    id_kind, q_kind = index.schema["id"].dataType, part.schema["query_id"].dataType
+    id_type = to_arrow_type(id_kind)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, asked = shared.value
+        # Ids and similarities of the k best so far, one row per query.
+        ids, best = pa.array([], id_type), np.zeros((len(asked), 0))
+        kept = np.zeros((len(asked), 0), dtype=np.int64)
+        for batch in batches:
+            if not len(batch) or not len(asked):
+                continue
+            rows = pa.Table.from_batches([batch]).sort_by("id")
+            places, scores = best_rows(asked, unit_rows(matrix_of(rows.column("i_vector"))), k)
+            pool = pa.concat_arrays([ids, rows.column("id").combine_chunks().cast(id_type)])
+            order = pc.rank(pool, sort_keys="ascending", null_placement="at_end", tiebreaker="first").to_numpy()
+            kept, best = merge_best(kept, best, places + len(ids), scores, order.astype(np.int64) - 1, k)
+            # Only the ids still named go on to the next batch.
+            used, back = np.unique(kept, return_inverse=True)
+            ids, kept = pool.take(pa.array(used)), back.reshape(kept.shape)
+        width = kept.shape[1]
+        step = max(1, 100_000 // max(width, 1))
+        for start in range(0, len(asked) if width else 0, step):
+            block = slice(start, start + step)
+            n = len(kept[block])
+            yield pa.RecordBatch.from_arrays([
+                names.take(pa.array(np.repeat(np.arange(start, start + n), width))),
+                ids.take(pa.array(kept[block].ravel())), pa.array(best[block].ravel())], ["query_id", "id", "similarity"])
+
+    kind = f"query_id {q_kind.simpleString()}, id {id_kind.simpleString()}, similarity double"
+    return index.select("id", "i_vector").mapInArrow(search, kind)
+
+
 def attach_metadata(hits: DataFrame, index: DataFrame, index_id: str = "id") -> DataFrame:
     """Add the texts of the neighbours to narrow search results."""
     meta = index.select(F.col(index_id).alias("id"), *_META)
@@ -193,18 +168,21 @@ def retrieve_context(
     messages: DataFrame,
     index: DataFrame,
     k: int = fixed.TOP_K,
-    message_id: str = "message_id",
     vector: str = "embedding",
     small_bytes: int = SMALL_INDEX_BYTES,
 ) -> DataFrame:
-    """Adds ``retrieved_context`` to each message."""
+    """Adds ``retrieved_context`` to each row, whatever its id: rows with equal ids, or none, are searched one by one."""
     texts = index.select(F.col("id"), F.col("embedding").alias("i_vector"), *_META)
     if index_bytes(texts, "i_vector", _META) > small_bytes:
-        hits = topk_large(
-            messages.select(F.col(message_id).alias("query_id"), F.col(vector).alias("q_vector")),
-            texts.select("id", "i_vector"), k)
-        lists = neighbour_lists(attach_metadata(hits, index)).withColumnRenamed("query_id", message_id)
-        joined = messages.join(lists, message_id, "left")
+        # Both are read several times from here on; row numbers are written, so they stay what they are.
+        numbered = stage(messages.withColumn("_row", F.monotonically_increasing_id()), "messages")
+        # Numbered in the order of the ids, which decides between equal similarities.
+        entries = stage(texts.orderBy(F.col("id").asc_nulls_last()).withColumn("_entry", F.monotonically_increasing_id()),
+                        "entries")
+        hits = attach_metadata(topk_large(
+            numbered.select(F.col("_row").alias("query_id"), F.col(vector).alias("q_vector")),
+            entries.select(F.col("_entry").alias("id"), "i_vector"), k), entries, "_entry")
+        joined = numbered.join(neighbour_lists(hits).withColumnRenamed("query_id", "_row"), "_row", "left").drop("_row")
         return joined.withColumn("retrieved_context", F.coalesce("retrieved_context", F.array()))
 
     table = texts.toArrow().sort_by("id")

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from deskflow import fixed
 from deskflow.functions.columns import compute_once
@@ -55,6 +55,11 @@ def thread_pairs(posts: DataFrame, brand: str = fixed.BRAND) -> DataFrame:
     return asked.join(replies.filter(F.col("gold_reply").isNotNull()), "tweet_id")
 
 
+def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that have a value in each of the columns."""
+    return df.dropna(how="any", subset=list(columns))
+
+
 def long_enough(df: DataFrame, columns: Sequence[str], chars: int = fixed.MIN_CHARS) -> DataFrame:
     for c in columns:
         df = df.filter(F.length(c) >= chars)
@@ -98,13 +103,21 @@ def build_threads(posts: DataFrame, brand: str = fixed.BRAND, min_chars: int = f
     return threads_at(thread_levels(posts, brand, (min_chars,)), min_chars)
 
 
-def turn_pairs(conversations: DataFrame) -> DataFrame:
-    """Each user turn with the assistant turn that follows it.
+def turn_pairs(conversations: DataFrame, span: int = 4096) -> DataFrame:
+    """Each user turn with the assistant turn that follows it, also across a gap in the numbers.
 
-    Joined on (conversation, turn), so one very long conversation still spreads over all tasks.
+    Turns are ordered within ranges of ``span`` numbers, so a very long conversation spreads over all tasks.  The last
+    turn of a range is followed by the first of the next range that has any; only these first turns, one per range,
+    are ordered by conversation.
     """
-    asked = conversations.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("tweet"))
-    answers = conversations.filter("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("gold_reply")
-    )
-    return asked.join(answers, ["conv_id", "turn"])
+    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("_range", F.floor(F.col("turn") / span))
+    one = W.partitionBy("conv_id", "_range").orderBy("turn")
+    first = rows.groupBy("conv_id", "_range").agg(F.min(F.struct("turn", "role", "text")).alias("_head"))
+    after = first.select("conv_id", "_range", F.lead("_head").over(
+        W.partitionBy("conv_id").orderBy("_range")).alias("_head"))
+    paired = rows.withColumn("_next", F.lead(F.struct("turn", "role", "text")).over(one))
+    inside = paired.filter("_next IS NOT NULL")
+    # Only the last turn of a range needs the next range.
+    edge = paired.filter("_next IS NULL").drop("_next").join(after, ["conv_id", "_range"]).withColumnRenamed("_head", "_next")
+    both = inside.unionByName(edge).filter("role = 'user' AND _next.role = 'assistant'")
+    return both.select("conv_id", "turn", F.col("text").alias("tweet"), F.col("_next.text").alias("gold_reply"))

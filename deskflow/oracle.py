@@ -274,7 +274,7 @@ checked AS (SELECT *, (answer IS NULL OR {' OR '.join(_bad_score(n) for n in fix
 parsed AS (SELECT event_id, {', '.join(f"{_int_score(n)} AS {n}" for n in fixed.RUBRIC)}, json_extract_string(answer, '$.explanation') AS explanation FROM checked WHERE NOT bad
  UNION ALL SELECT event_id, {', '.join(s.split(' AS ')[0] for s in _judge_scores('generated_reply').split(chr(10)) if s).replace(',,', ',')}, {_quote(fixed.HEURISTIC_EXPLANATION)} FROM checked WHERE bad)"""
 
-_RULE_PREDICTIONS = f"""SELECT tweet, intent, CAST(0.9 AS DOUBLE) AS confidence, {_cap('gold_reply', 6)} AS generated_reply,
+_RULE_PREDICTIONS = f"""SELECT tweet_id, tweet, intent, CAST(0.9 AS DOUBLE) AS confidence, {_cap('gold_reply', 6)} AS generated_reply,
  {_decision('tweet', 'intent', '0.9')} AS decision, {_reason('tweet', 'intent', 'CAST(0.9 AS DOUBLE)')} AS reason FROM labelled"""
 
 
@@ -310,13 +310,13 @@ ORACLE: dict[str, str] = {
     "escalated_flag": f"WITH {_JUDGED} SELECT event_id, CASE WHEN route = 'ESCALATE' THEN 1 ELSE 0 END AS escalated FROM judged",
     # joins
     "thread_pairs": f"WITH {_REPLIES} SELECT p.tweet_id, p.text, r.gold_reply FROM posts p JOIN replies r ON p.tweet_id = r.in_response_to_tweet_id WHERE {_flag('p.inbound')}",
-    "turn_pairs": "SELECT conv_id, turn, text AS tweet, reply AS gold_reply FROM (SELECT *, lead(text) OVER w AS reply, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t WHERE role = 'user' AND next_role = 'assistant'",
+    "turn_pairs": "SELECT conv_id, turn, text AS tweet, reply AS gold_reply FROM (SELECT *, lead(text) OVER w AS reply, lead(role) OVER w AS next_role FROM conversations WHERE (conv_id + turn) % 5 <> 1 AND (turn < 3 OR conv_id % 4 <> 1) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t WHERE role = 'user' AND next_role = 'assistant'",
     "holdout_anti": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = d.text) AND NOT EXISTS (SELECT 1 FROM documents u JOIN labels l ON u.doc_id = l.doc_id WHERE l.quality = 0 AND u.text = d.text)",
     "topup_anti": f"WITH {_CUSTOMERS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY intent ORDER BY {_key('tweet_id')}, tweet_id) AS rn FROM customers WHERE intent IS NOT NULL) SELECT tweet_id, intent FROM ranked WHERE rn > 23",
     "topk_retrieve": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "topk_retrieve_large": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "attach_metadata": f"WITH {_INDEX}, {_hits('embeddings', 'idx', 'vec_id', 'id')} SELECT h.query_id, h.rank, h.id, h.similarity, i.tweet, i.apple_reply, i.intent FROM hits h JOIN idx i ON h.id = i.id",
-    "attach_truth": f"WITH {_THREADS} SELECT tweet_id, intent, intent AS ground_truth_intent, 'AUTO' AS ground_truth_escalate, '' AS gold_reply FROM labelled",
+    "attach_truth": f"WITH {_THREADS} SELECT tweet_id, intent, CASE WHEN CAST(tweet_id AS BIGINT) % 3 = 0 THEN 'general_inquiry' ELSE intent END AS ground_truth_intent, 'AUTO' AS ground_truth_escalate, '' AS gold_reply FROM labelled WHERE CAST(tweet_id AS BIGINT) % 11 <> 0",
     "label_decode": f"WITH {_CUSTOMERS} SELECT tweet_id, CAST(list_position({sorted(fixed.INTENTS)}, intent) - 1 AS DOUBLE) AS label_index, intent AS decoded FROM customers WHERE intent IS NOT NULL",
     # aggregations
     "intent_counts": f"WITH {_CUSTOMERS} SELECT intent, count(*) AS n FROM customers WHERE intent IS NOT NULL GROUP BY intent",
@@ -358,7 +358,7 @@ SELECT a.split AS split_a, b.split AS split_b, (SELECT count(*) FROM s x JOIN s
     "sorted_labels": f"WITH {_JUDGED} SELECT truth AS label FROM judged UNION SELECT predicted FROM judged ORDER BY label",
     "preview": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 3",
     # set operations
-    "concat_groups": f"WITH {_JUDGED} SELECT event_id, truth FROM judged",
+    "concat_groups": f"WITH {_JUDGED} SELECT event_id, nullif(truth, 'error') AS truth, CASE WHEN truth NOT IN ('view', 'error') THEN true END AS other FROM judged",
     "used_texts": "SELECT text FROM documents WHERE text IS NOT NULL UNION SELECT text FROM benchmark WHERE text IS NOT NULL UNION SELECT text FROM conversations WHERE text IS NOT NULL",
     "label_union": f"WITH {_JUDGED} SELECT truth AS label FROM judged UNION SELECT predicted FROM judged",
     # text
@@ -388,10 +388,22 @@ FROM idx i JOIN listed l ON i.id = l.query_id""",
     "draft_reply": f"WITH {_CONTEXT} SELECT query_id AS id, {_cap('apple_reply', 4)} AS reply FROM found WHERE rank = 1",
     "heuristic_judge": f"WITH {_TEXTS}, m AS (SELECT text_id, {_judge_scores('text')} FROM texts) SELECT *, {_MEAN4} AS average_score FROM m",
     # models
-    "prob_map": "SELECT vec_id, CAST((SELECT count(DISTINCT label) FROM embeddings) AS INTEGER) AS classes, CAST(1 AS DOUBLE) AS total FROM embeddings",
+    "prob_map": "SELECT vec_id, CAST((SELECT count(DISTINCT label) FROM embeddings) AS INTEGER) AS classes, true AS agrees FROM embeddings",
     "embed": f"SELECT doc_id, 384 AS width, CASE WHEN len({_TOKENS}) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS norm FROM documents",
     "baseline_majority_fit": f"WITH {_MAJORITY} SELECT truth, predicted, truth_route, route, count(*) AS n FROM long_rows GROUP BY truth, predicted, truth_route, route",
-    "fit_index": f"WITH {_SPLITS} SELECT CAST(tweet_id AS BIGINT) AS id, tweet, gold_reply AS apple_reply, intent, 384 AS width FROM splits WHERE split = 'train'",
+    "fit_index": f"WITH {_SPLITS} SELECT tweet_id AS id, tweet, gold_reply AS apple_reply, intent, 384 AS width FROM labelled l WHERE NOT EXISTS (SELECT 1 FROM splits s WHERE s.split <> 'train' AND s.tweet = l.tweet)",
+    "scan_evaluation": f"WITH {_THREADS} SELECT {_EVAL_COLUMNS.replace('tweet_id, ', '', 1)} FROM labelled",
+    "confidence": "SELECT vec_id, true AS agrees FROM embeddings",
+    "predict_intent": "SELECT vec_id, true AS agrees FROM embeddings",
+    "model_save_load": "SELECT vec_id, true AS same FROM embeddings",
+    "train_intent": f"WITH {_SPLITS} SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(DISTINCT intent) FILTER (WHERE split = 'train') AS n_classes, true AS optimal, count(*) FILTER (WHERE split = 'validation') AS n_validation, count(*) FILTER (WHERE split = 'validation') AS n_reported FROM splits",
+    "baseline_tfidf_svm": f"WITH {_SPLITS} SELECT tweet_id, intent AS truth, true AS known, true AS converged, true AS learned FROM splits WHERE split = 'test'",
+    "batch_predict": f"WITH {_CUSTOMERS} SELECT tweet_id, true AS routed, 5 AS neighbours, true AS short, true AS grounded FROM customers",
+    "predict_file": f"WITH {_POSTS}, asked AS (SELECT {_strip('text')} AS tweet FROM posts WHERE {_flag('inbound')}) SELECT tweet, count(*) AS n, count(*) AS n_ids FROM asked GROUP BY tweet",
+    "evaluate_agent": f"WITH {_SPLITS} SELECT count(*) AS eval_samples, true AS all_rows, true AS intents_agree, true AS routes_agree FROM splits WHERE split = 'test'",
+    "evaluate_model": f"WITH {_SPLITS} SELECT 'agent' AS model, count(*) AS n, true AS accurate, true AS recalled FROM splits WHERE split = 'test'",
+    "compare_baselines": f"WITH {_MAJORITY}, c AS (WITH {_comparison('long_rows')}) SELECT m.model, CASE WHEN m.model = 'majority' THEN CAST(intent_accuracy AS DOUBLE) END AS majority_accuracy, CASE WHEN m.model = 'majority' THEN intent_macro_f1 END AS majority_f1, m.model <> 'majority' AS above_half FROM (VALUES ('majority'), ('tfidf_svm'), ('agent')) m(model), c",
+    "run_all": f"WITH {_GOLDEN} SELECT count(*) AS eval_samples, true AS all_rows, true AS intents_agree, true AS routes_agree, (SELECT count(*) FROM labelled l WHERE NOT EXISTS (SELECT 1 FROM splits s WHERE s.split <> 'train' AND s.tweet = l.tweet) AND NOT EXISTS (SELECT 1 FROM golden g WHERE g.tweet = l.tweet)) AS n_index, (SELECT count(*) FROM splits WHERE split = 'validation') AS n_validation FROM golden",
     # composed jobs
     "build_threads": f"WITH {_THREADS} SELECT tweet_id, tweet, gold_reply FROM threads",
     "build_splits": f"WITH {_SPLITS} SELECT * FROM splits",

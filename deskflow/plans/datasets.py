@@ -8,7 +8,7 @@ from deskflow import fixed
 from deskflow.functions.columns import compute_once
 from deskflow.functions.judging import human_mean
 from deskflow.functions.routing import label_escalation, weak_intent
-from deskflow.operators.holdout import used_texts, without_used
+from deskflow.operators.holdout import used_keys, without_used
 from deskflow.operators.sampling import cap_splits, random_rows, stratified_sample, stratified_split, topped_up_sample
 from deskflow.operators.threads import thread_levels, threads_at
 from deskflow.sources.stage import stage
@@ -27,18 +27,24 @@ def with_truth_route(df: DataFrame) -> DataFrame:
     return routed.withColumn("escalate", F.col("_r.decision")).withColumn("reason", F.col("_r.reason")).drop("_r")
 
 
-def thread_table(posts: DataFrame, brand: str = fixed.BRAND) -> DataFrame:
+def thread_table(posts: DataFrame, brand: str = fixed.BRAND,
+                 rules: Sequence[tuple[str, str]] = fixed.INTENT_RULES) -> DataFrame:
     """Labelled threads for all data sets, built and written once: posts are cleaned, joined and grouped one time."""
     levels = thread_levels(posts, brand, (fixed.MIN_CHARS, fixed.GOLDEN_MIN_CHARS))
-    return stage(label_intents(levels), "threads")
+    return stage(label_intents(levels, rules), "threads")
 
 
 def build_splits(
-    threads: DataFrame, totals: Sequence[int] = fixed.SPLIT_TOTALS, seed: int = fixed.SEED
+    threads: DataFrame, totals: Sequence[int] = fixed.SPLIT_TOTALS, seed: int = fixed.SEED,
+    caps: Sequence[int] = fixed.SPLIT_CLASS_CAPS,
 ) -> DataFrame:
-    """Train, validation and test rows of a thread table, with column ``split``; test rows carry their routing."""
+    """Train, validation and test rows of a thread table, with column ``split``; test rows carry their routing.
+
+    The sizes are the caller's: ``caps`` rows per class and ``totals`` rows in all, for each split.  Threads beyond
+    them are in no split; the index of past cases has them all (``index_rows``).
+    """
     labelled = threads_at(threads, fixed.MIN_CHARS).drop("created_at")
-    splits = stratified_split(labelled, classes=fixed.INTENTS, seed=seed)
+    splits = stratified_split(labelled, caps=caps, seed=seed)
     capped = cap_splits(splits, totals=dict(zip(fixed.SPLITS, totals)), seed=seed)
     test = F.col("split") == "test"
     return with_truth_route(capped).select(
@@ -53,7 +59,12 @@ def split_of(splits: DataFrame, name: str) -> DataFrame:
 
 def _unused(threads: DataFrame, used: Sequence[DataFrame], chars: int) -> DataFrame:
     pool = threads_at(threads, chars)
-    return without_used(pool, used_texts(*used)) if used else pool
+    return without_used(pool, used_keys(*used)) if used else pool
+
+
+def index_rows(threads: DataFrame, *held_out: DataFrame) -> DataFrame:
+    """All threads that can be past cases: those whose text is in none of the held-out frames."""
+    return _unused(threads, held_out, fixed.MIN_CHARS).select("tweet_id", "tweet", "gold_reply", "intent")
 
 
 def build_golden(
@@ -69,10 +80,11 @@ def build_golden(
 
 
 def build_fresh_test(
-    threads: DataFrame, *used: DataFrame, total: int = fixed.FRESH_TOTAL, seed: int = fixed.SEED
+    threads: DataFrame, *used: DataFrame, total: int = fixed.FRESH_TOTAL, seed: int = fixed.SEED,
+    classes: int = len(fixed.INTENTS),
 ) -> DataFrame:
     """Second balanced test sample of a thread table, none of it in the ``used`` frames."""
-    per_class = total // len(fixed.INTENTS) + 5
+    per_class = total // classes + 5
     sample = stratified_sample(_unused(threads, used, fixed.MIN_CHARS), per_class, total, seed=seed)
     return with_truth_route(sample).select(*EVALUATION_COLUMNS)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from deskflow.functions.routing import baseline_route
 from deskflow.operators.metrics import (
-    compare_models, escalation_scores, intent_scores, majority_predictions, metrics_document,
+    class_report, compare_models, escalation_scores, intent_scores, majority_predictions, metrics_document,
 )
 from deskflow.operators.models import SvmBaseline
 from deskflow.operators.rubric import human_agreement, judge_summary, rounded_agreement, score_replies
@@ -14,9 +14,19 @@ from deskflow.plans.predict import SupportAgent
 from deskflow.sources.stage import stage
 from deskflow.sources.tables import default_column
 
+
 COMPARED = ("truth", "predicted", "truth_route", "route")
 
 
+def training_report(agent: SupportAgent, validation: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accuracy and macro scores on the validation split in one row, and the report by class."""
+    rows = validation.withColumnRenamed("intent", "truth")
+    encoded = agent.encoder.encode(rows) if agent.encoder else rows
+    scored = stage(agent.classifier.predict(encoded).groupBy("truth", "intent").agg(
+        F.count("*").alias("n")), "validation-counts")
+    return intent_scores(scored, "truth", "intent", "n"), class_report(scored, "truth", "intent", "n")
+
+
 def attach_truth(predictions: DataFrame, truth: DataFrame, key: str = "tweet_id") -> DataFrame:
     """Predictions with the true intent and routing, joined by id."""
     truth = default_column(default_column(truth, "escalate", "AUTO"), "gold_reply", "")

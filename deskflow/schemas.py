@@ -30,12 +30,6 @@ PREDICTIONS = T.StructType([
     T.StructField("decision", T.StringType()),
     T.StructField("reason", T.StringType()),
 ])
-NEIGHBOURS = T.ArrayType(T.StructType([
-    T.StructField("similarity", T.DoubleType()),
-    T.StructField("tweet", T.StringType()),
-    T.StructField("apple_reply", T.StringType()),
-    T.StructField("intent", T.StringType()),
-]))
 VECTOR_TABLE = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("embedding", T.ArrayType(T.FloatType())),

@@ -15,10 +15,11 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     writer.format(fmt).save(path)
 
 
-def sink_predictions(predictions: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Six contract columns, and the two truth columns when they are there."""
+def sink_predictions(predictions: DataFrame, path: str, fmt: str = "parquet", message_id: str | None = None) -> None:
+    """Message id (when named), the six contract columns, and the two truth columns when they are there."""
     truth = [c for c in TRUTH_COLUMNS if c in predictions.columns]
-    write(predictions.select(*schemas.PREDICTIONS.names, *truth), path, fmt)
+    ids = [message_id] if message_id else []
+    write(predictions.select(*ids, *schemas.PREDICTIONS.names, *truth), path, fmt)
 
 
 def sink_splits(splits: DataFrame, path: str) -> None:

@@ -6,10 +6,13 @@ A stage cuts the lineage and survives lost executors, because it is an ordinary
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+_INSIDE: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; in local mode without it, a temporary one."""
@@ -24,7 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """Unused path in the shared folder."""
-    return f"{shared_folder(spark)}/deskflow/{name}-{uuid.uuid4().hex}"
+    folder = _INSIDE.get() or f"{shared_folder(spark)}/deskflow"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -34,12 +38,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
+    """True when a table was written there to its end; a fault of the storage is an error, not an absence."""
+    place, files = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Stages made inside go to a folder of their own, which is removed at the end: nothing read later may need them."""
+    folder = new_path(spark, "scratch")
+    token = _INSIDE.set(folder)
     try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+        yield folder
+    finally:
+        _INSIDE.reset(token)
+        remove(spark, folder)
 
 
 def stage_skip(spark: SparkSession, path: str, compute: Callable[[], DataFrame], overwrite: bool = False) -> DataFrame:

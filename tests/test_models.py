@@ -1,14 +1,17 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from deskflow import fixed, schemas
 from deskflow.operators.models import IntentClassifier, SvmBaseline, TextEncoder
-from deskflow.plans.predict import SupportAgent, predict_table
+from deskflow.plans.evaluate import training_report
+from deskflow.plans.predict import SupportAgent, predict_file, predict_table
 from deskflow.plans.run_all import run_all
 from deskflow.queries import posts
 from deskflow.sources.derived import BRAND
-from deskflow.sources.stage import new_path
+from deskflow.sources.stage import new_path, shared_folder
 from deskflow.sources.tables import scan_messages, scan_metrics, scan_posts
 
 SF = "/root/testdata/sf0.001"
@@ -86,16 +89,63 @@ def test_own_encoder(spark, train):
         assert r["embedding"] == pytest.approx([x / (n * n + 25) ** 0.5 for x in (n, 3, 4)], abs=1e-6)
 
 
+def test_agent_with_own_encoder(spark, train):
+    def counts(texts):
+        return np.array([[t.count(c) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts])
+
+    own = TextEncoder(vectorize=counts)
+    more = train.withColumn("tweet_id", F.concat(F.lit("x"), "tweet_id"))
+    fitted = SupportAgent.fit(train, train.unionByName(more), encoder=own)
+    assert fitted.index.count() == 2 * train.count()
+    path = new_path(spark, "own")
+    fitted.save(path)
+    loaded = SupportAgent.load(spark, path, encoder=own)
+    messages = train.select("tweet_id", F.col("tweet").alias("text"))
+    once, again = (sorted(map(str, a.predict(messages, message_id="tweet_id").collect())) for a in (fitted, loaded))
+    assert once == again
+    # The same vectors, worked out beforehand.
+    vectors = own.encode(train, output="v")
+    given = SupportAgent.fit(vectors, own.encode(train.unionByName(more), output="v"), vector="v")
+    given.save(path + "-given")
+    plain = SupportAgent.load(spark, path + "-given")
+    assert plain.encoder is None
+    rows = plain.predict(own.encode(messages, "text", output="v"), message_id="tweet_id", vector="v")
+    shown = ["tweet_id", "intent", "decision", "generated_reply"]
+    assert sorted(map(str, rows.select(shown).collect())) == sorted(map(str, fitted.predict(
+        messages, message_id="tweet_id").select(shown).collect()))
+
+
+def test_training_report(train, agent):
+    summary, by_class = training_report(agent, train)
+    assert summary.first()["eval_samples"] == 270
+    assert {r["label"] for r in by_class.collect()} == {*fixed.INTENTS, "accuracy", "macro avg", "weighted avg"}
+
+
 def test_svm_baseline(spark, train):
-    rows = SvmBaseline.fit(train, max_iter=5).predict(train.withColumnRenamed("intent", "truth")).collect()
+    first, second = SvmBaseline.fit(train), SvmBaseline.fit(train.repartition(5))
+    rows = first.predict(train.withColumnRenamed("intent", "truth")).collect()
     assert np.mean([r["intent"] == r["truth"] for r in rows]) > 0.9
+    assert max(first.iterations) < 2000 and first.iterations == second.iterations
+    for a, b in zip(first.model.models, second.model.models):
+        assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), abs=1e-6)
+        assert a.intercept == pytest.approx(b.intercept, abs=1e-6)
 
 
 def test_predict_table(spark, train, agent):
-    path = new_path(spark, "out")
-    predict_table(agent, train.select(F.col("tweet").alias("query")), path, fmt="csv")
+    path, source = new_path(spark, "out"), new_path(spark, "in")
+    asked = train.select("intent", F.col("tweet").alias("query"))
+    asked.write.parquet(source)
+    predict_file(agent, source, path, fmt="csv")
     saved = spark.read.option("header", True).csv(path)
-    assert saved.columns == schemas.PREDICTIONS.names and saved.count() == 270
+    assert saved.columns == ["message_id", *schemas.PREDICTIONS.names]
+    assert saved.count() == saved.select("message_id").distinct().count() == 270
+    asked.coalesce(1).write.option("header", True).csv(source + ".csv")
+    predict_file(agent, source + ".csv", path)
+    assert spark.read.parquet(path).select("message_id").distinct().count() == 270
+    predict_table(agent, train.withColumnRenamed("tweet_id", "message_id"), path)
+    assert spark.read.parquet(path).join(train, F.col("message_id") == F.col("tweet_id")).count() == 270
+    with pytest.raises(ValueError, match="message_id"):
+        predict_table(agent, asked, path)
     with pytest.raises(ValueError, match="Found columns"):
         scan_messages(train.select("gold_reply"))
 
@@ -111,14 +161,26 @@ def test_scan_posts_reads_line_breaks(spark, tmp_path):
 def test_run_all_writes_and_reuses(spark):
     folder = new_path(spark, "run")
     p = posts(spark, SF)
+    before = len(list(Path(shared_folder(spark)).glob("deskflow/scratch-*")))
     first = run_all(p, folder, BRAND, judge=True).first()
+    assert len(list(Path(shared_folder(spark)).glob("deskflow/scratch-*"))) == before
     assert first["intent_classification"]["eval_samples"] > 0
     stamp = spark.read.parquet(f"{folder}/splits").inputFiles()
+    trained = spark.read.parquet(f"{folder}/model/index").inputFiles()
     run_all(p, folder, BRAND)
     assert spark.read.parquet(f"{folder}/splits").inputFiles() == stamp
+    assert spark.read.parquet(f"{folder}/model/index").inputFiles() == trained
+    assert spark.read.json(f"{folder}/training").first()["eval_samples"] > 0
     saved = scan_metrics(spark, f"{folder}/metrics").first()
     assert saved["reply_quality_judge"]["status"].startswith("Skipped")
     splits = spark.read.parquet(f"{folder}/splits")
     golden = spark.read.parquet(f"{folder}/golden")
     used = splits.filter("split <> 'test'").select("tweet")
     assert golden.join(used, "tweet").count() == 0
+    # Other posts: everything is built again, the model too.
+    scores = golden.select("tweet_id", *[F.lit(4).alias(f"human_{n}") for n in fixed.RUBRIC]).cache()
+    scores.count()
+    again = run_all(p.filter("tweet_id % 7 <> 1 OR author_id = 'Support'"), folder, BRAND, judge=True, human_scores=scores).first()
+    assert spark.read.parquet(f"{folder}/splits").inputFiles() != stamp
+    assert spark.read.parquet(f"{folder}/model/index").inputFiles() != trained
+    assert again["reply_quality_judge"]["human_agreement"]["sample_size"] > 0

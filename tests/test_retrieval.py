@@ -36,35 +36,45 @@ def data():
 
 
 @pytest.mark.parametrize("k", [1, 5, 1000])
-def test_small_and_large_equal_brute_force(spark, data, k):
+@pytest.mark.parametrize("chunk_bytes", [1 << 26, 900])
+def test_small_and_large_equal_brute_force(spark, data, k, chunk_bytes):
     q, m = data
     queries, index = frame(spark, q, "query_id", "q_vector"), frame(spark, m, "id", "i_vector")
     expected = brute_force(q, m, k)
     assert rows(retrieval.topk_small(queries, index, k)) == expected
-    large = retrieval.topk_large(queries, index, k, block_rows=50, max_pivots=10, sample_rows=60)
-    assert rows(large) == expected
+    # The queries are the smaller side here, and the index in the second search.
+    assert rows(retrieval.topk_large(queries.repartition(2), index.repartition(3), k, chunk_bytes)) == expected
+    back = retrieval.topk_large(
+        index.withColumnsRenamed({"id": "query_id", "i_vector": "q_vector"}),
+        queries.withColumnsRenamed({"query_id": "id", "q_vector": "i_vector"}), k, 3 * chunk_bytes)
+    assert rows(back) == brute_force(m, q, k)
 
 
-def test_cells_are_pruned(spark, data):
+def test_little_is_shuffled(spark, data):
+    """Only the k best of each task cross the shuffle, however large the index is."""
     q, m = data
-    queries, index = frame(spark, q[:12], "query_id", "q_vector"), frame(spark, m, "id", "i_vector")
-    import deskflow.operators.retrieval as module
-
-    seen = {}
-    original = module.stage
-
-    def spy(df, name):
-        seen[name] = original(df, name)
-        return seen[name]
-
-    module.stage = spy
-    try:
-        retrieval.topk_large(queries, index, 2, block_rows=50, max_pivots=40, sample_rows=400).count()
-    finally:
-        module.stage = original
-    visited = seen["visits"].agg(F.avg(F.size("cells"))).first()[0]
-    cells = seen["cells"].select("cell").distinct().count()
-    assert visited < cells / 2
+    queries, index = frame(spark, q[:12], "query_id", "q_vector"), frame(spark, m, "id", "i_vector").repartition(4)
+    found = retrieval.topk_large(queries, index, 2)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert "MapInArrow" in text and "CoGroup" not in text and "Cartesian" not in text
+    assert text.split("Exchange")[0].count("MapInArrow") <= 1
+    candidates = spark.createDataFrame(found.rdd.map(tuple), found.schema).count()
+    assert candidates == 24
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "date"])
+def test_ids_of_any_type(spark, data, kind):
+    q, m = data
+    queries, index = frame(spark, q, "query_id", "q_vector"), frame(spark, m, "id", "i_vector")
+    as_kind = {"string": F.format_string("n%06d", "id"), "double": F.col("id") / 2.0,
+               "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))}[kind]
+    named = index.withColumn("id", as_kind)
+    names = {r[0]: r[1] for r in index.select(F.col("id").alias("number"), as_kind.alias("id")).collect()}
+    want = {(a, b, names[c], d) for a, b, c, d in brute_force(q, m, 3)}
+    assert rows(retrieval.topk_small(queries, named, 3)) == want
+    assert rows(retrieval.topk_large(queries, named.repartition(3), 3, 2000)) == want
 
 
 def test_empty_index(spark, data):
@@ -82,7 +92,7 @@ def test_choice_by_measured_size(spark, data):
     large = retrieval.topk_retrieve(queries, index, 3, small_bytes=1000)
     assert rows(small) == rows(large)
     assert "ArrowEvalPython" in small._jdf.queryExecution().executedPlan().toString()
-    assert "CoGroupsInArrow" in large._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in large._jdf.queryExecution().executedPlan().toString()
 
 
 def test_context_lists_agree(spark, data):
@@ -90,8 +100,15 @@ def test_context_lists_agree(spark, data):
     messages = frame(spark, q, "message_id", "embedding")
     index = frame(spark, m, "id", "embedding").withColumns({
         "tweet": F.concat(F.lit("t"), F.col("id")), "apple_reply": F.lit("r"), "intent": F.lit("i")})
-    one = retrieval.retrieve_context(messages, index, 4)
-    two = retrieval.retrieve_context(messages, index, 4, small_bytes=1000)
-    as_dict = lambda df: {r["message_id"]: [tuple(x) for x in r["retrieved_context"]] for r in df.collect()}
-    assert as_dict(one) == as_dict(two)
-    assert all(len(v) == 4 for v in as_dict(one).values())
+    # Messages that share an id, and one without: each is searched by itself.
+    messages = messages.withColumn("message_id", F.nullif(F.col("message_id") % 5, F.lit(3)))
+    found = [sorted(((r["message_id"], [tuple(x) for x in r["retrieved_context"]]) for r in df.collect()), key=repr) for df in (
+        retrieval.retrieve_context(messages, index, 4),
+        retrieval.retrieve_context(messages, index.repartition(3), 4, small_bytes=1000))]
+    assert found[0] == found[1] and len(found[0]) == len(q)
+    assert all(len(v) == 4 for _, v in found[0])
+    # Index rows that share an id stay rows of their own.
+    shared = index.withColumn("id", F.floor(F.col("id") / 2))
+    a, b = ({str(r) for r in retrieval.retrieve_context(messages, shared, 1000, small_bytes=n).select(
+        F.size("retrieved_context")).collect()} for n in (1 << 26, 1000))
+    assert a == b == {f"Row(size(retrieved_context)={len(m)})"}
