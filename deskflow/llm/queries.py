@@ -13,8 +13,7 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
     return found.select(
         F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
-        F.col("longest").alias("longest_match"))
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def op2_licences(spark: SparkSession, sf: str) -> DataFrame:
