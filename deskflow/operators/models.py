@@ -105,7 +105,7 @@ class IntentClassifier:
 
     @classmethod
     def fit(cls, df: DataFrame, label: str = "intent", vector: str = "embedding", c: float = 1.0,
-            max_iter: int = 1000, tol: float = 1e-6) -> "IntentClassifier":
+            max_iter: int = 1000, tol: float = 1e-4) -> "IntentClassifier":
         """Balanced classes, L2 penalty 1/(2C), features as they are.
 
         ``tol`` bounds the relative change of the objective; ``slope`` tells how near its optimum a fit has come.

@@ -389,7 +389,7 @@ FROM idx i JOIN listed l ON i.id = l.query_id""",
     "heuristic_judge": f"WITH {_TEXTS}, m AS (SELECT text_id, {_judge_scores('text')} FROM texts) SELECT *, {_MEAN4} AS average_score FROM m",
     # models
     "prob_map": "SELECT vec_id, CAST((SELECT count(DISTINCT label) FROM embeddings) AS INTEGER) AS classes, true AS agrees FROM embeddings",
-    "embed": f"SELECT doc_id, 384 AS width, CASE WHEN len({_TOKENS}) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS norm FROM documents",
+    "embed": f"SELECT doc_id, 384 AS width, CASE WHEN len({_TOKENS}) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS norm, CAST(len(list_distinct({_TOKENS})) AS INTEGER) AS n_words, true AS filled FROM documents",
     "baseline_majority_fit": f"WITH {_MAJORITY} SELECT truth, predicted, truth_route, route, count(*) AS n FROM long_rows GROUP BY truth, predicted, truth_route, route",
     "fit_index": f"WITH {_SPLITS} SELECT tweet_id AS id, tweet, gold_reply AS apple_reply, intent, 384 AS width FROM labelled l WHERE NOT EXISTS (SELECT 1 FROM splits s WHERE s.split <> 'train' AND s.tweet = l.tweet)",
     "scan_evaluation": f"WITH {_THREADS} SELECT {_EVAL_COLUMNS.replace('tweet_id, ', '', 1)} FROM labelled",
