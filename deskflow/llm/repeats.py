@@ -34,8 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAST = 200
 _GRAM = 32
-_BUFFER = 1 << 19
-_SHARD = 1 << 20
+_BUFFER = 1 << 18
+_SHARD = 1 << 19
 # Bytes that UTF-8 never uses, one higher: the mark after a piece.
 _MARK = 255
 
@@ -128,7 +128,11 @@ def pieces_of(data: Column, least: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = _pieces(least)
         for batch in batches:
-            yield of([x or b"" for x in batch.to_pylist()])
+            # A few texts at a time are held as Python objects.
+            parts = [of([x or b"" for x in batch.slice(k, 256).to_pylist()]) for k in range(0, len(batch), 256)]
+            yield pa.concat_arrays(parts) if parts else of([])
+            del parts
+            pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, _PIECES)(data)
 
@@ -171,13 +175,14 @@ def _sharded(least: int, target: int):
                 pa.array([n for _, _, n in found], pa.int32())], ["tid", "a", "n"])
 
         for batch in batches:
-            for r in batch.to_pylist():
-                if size >= target and r["h"] != last:
-                    yield shard()
-                    rows, size = [], 0
-                rows.append(r)
-                size += len(r["piece"])
-                last = r["h"]
+            for k in range(0, len(batch), 256):
+                for r in batch.slice(k, 256).to_pylist():
+                    if size >= target and r["h"] != last:
+                        yield shard()
+                        rows, size = [], 0
+                    rows.append(r)
+                    size += len(r["piece"])
+                    last = r["h"]
         if rows:
             yield shard()
 
@@ -214,8 +219,9 @@ def _cutter(least: int):
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for data, marks in batches:
             spans, kept = [], []
-            for b, m in zip(data.to_pylist(), marks.to_pylist()):
-                runs, at, digest = _spans(m, least), 0, hashlib.sha256()
+            for i in range(len(data)):
+                b = memoryview(data[i].as_buffer())
+                runs, at, digest = _spans(marks[i].as_py(), least), 0, hashlib.sha256()
                 for first, end in runs:
                     digest.update(b[at:first])
                     at = end
