@@ -14,6 +14,8 @@ from deskflow.sources.stage import stage
 # Sent to the tasks with the code that uses it, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+AT_ONCE = 256
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -28,7 +30,8 @@ def per_text(make: Callable[[], Callable[[list], dict[str, list]]], schema: str,
     """Struct column computed in Python from texts, one Arrow batch after another.
 
     ``make`` is called once per task and gives a function from texts (``str`` or None) to columns of the struct;
-    what it keeps between batches lives as long as the task.
+    what it keeps between batches lives as long as the task.  It gets a part of a batch at a time, so that few texts are held
+    as Python objects.
     """
     kind = T.StructType.fromDDL(schema)
     fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in kind]
@@ -36,9 +39,10 @@ def per_text(make: Callable[[], Callable[[list], dict[str, list]]], schema: str,
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for batch in batches:
-            got = work(batch.to_pylist())
-            arrays = [pa.array(got[f.name], f.type) for f in fields]
-            yield pa.StructArray.from_arrays(arrays, fields=fields)
+            for start in range(0, len(batch), AT_ONCE):
+                got = work(batch.slice(start, AT_ONCE).to_pylist())
+                yield pa.StructArray.from_arrays([pa.array(got[f.name], f.type) for f in fields], fields=fields)
+                del got
 
     return F.arrow_udf(run, kind)(text)
 

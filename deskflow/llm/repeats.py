@@ -26,7 +26,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from deskflow.llm.common import per_text
+from deskflow.llm.common import AT_ONCE
 from deskflow.llm.suffix import permuted_common_prefixes, suffix_array
 from deskflow.sources.stage import stage
 
@@ -34,8 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAST = 200
 _GRAM = 32
-_BUFFER = 1 << 18
-_SHARD = 1 << 19
+_BUFFER = 1 << 17
+_SHARD = 1 << 18
 # Bytes that UTF-8 never uses, one higher: the mark after a piece.
 _MARK = 255
 
@@ -129,9 +129,8 @@ def pieces_of(data: Column, least: int) -> Column:
         of = _pieces(least)
         for batch in batches:
             # A few texts at a time are held as Python objects.
-            parts = [of([x or b"" for x in batch.slice(k, 256).to_pylist()]) for k in range(0, len(batch), 256)]
-            yield pa.concat_arrays(parts) if parts else of([])
-            del parts
+            for k in range(0, len(batch), AT_ONCE):
+                yield of([x or b"" for x in batch.slice(k, AT_ONCE).to_pylist()])
             pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, _PIECES)(data)
@@ -248,8 +247,10 @@ def spans_by_text(docs: DataFrame, text_col: str = "text", least: int = LEAST, c
     tid, data = _keyed(docs, text_col)
     texts = docs.select(tid.alias("tid"), data.alias("data")).where(F.octet_length("data") >= least)
     flat = texts.select("tid", pieces_of(F.col("data"), least).alias("p")).select("tid", F.inline("p"))
-    several = flat.groupBy("h").agg(F.count("*").alias("rows"), F.min("d").alias("d0"), F.max("d").alias("d1")).where(
-        "rows > 1").select("h", F.expr("d0 = d1").alias("alike"))
+    # Written before it is joined: then both sides of the join come from plain shuffles, and the share of an anchor that
+    # very many texts have can be split among tasks.
+    several = stage(flat.groupBy("h").agg(F.count("*").alias("rows"), F.min("d").alias("d0"), F.max("d").alias("d1")).where(
+        "rows > 1").select("h", F.expr("d0 = d1").alias("alike")), "anchors")
     joined = stage(flat.join(several, "h"), "pieces")
 
     # Different pieces of an anchor: how often each is there, and a text that has it.
