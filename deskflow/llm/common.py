@@ -15,6 +15,18 @@ from deskflow.sources.stage import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AT_ONCE = 256
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Lower the session's Arrow batches to at most ``rows`` rows, for columns of whole texts.
+
+    A batch is held by the JVM outside its heap and by the Python worker; ten thousand texts, the default, can be more
+    than both have to spare.  Results do not depend on it.
+    """
+    now = int(spark.conf.get(_BATCH_ROWS))
+    if not 0 < now <= rows:
+        spark.conf.set(_BATCH_ROWS, str(rows))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

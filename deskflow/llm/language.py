@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from deskflow.llm.common import per_text, texts_of, worker_memory
+from deskflow.llm.common import AT_ONCE, per_text, small_batches, texts_of, worker_memory
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -74,11 +74,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting.clear()
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            parts = waiting.setdefault(lang, [])
-            parts.append(grams_of(text))
-            if len(parts) >= 256:
-                waiting[lang] = [_merged(parts)]
+        for k in range(0, len(batch), AT_ONCE):
+            part = batch.slice(k, AT_ONCE)
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                parts = waiting.setdefault(lang, [])
+                parts.append(grams_of(text))
+                if len(parts) >= 256:
+                    waiting[lang] = [_merged(parts)]
         for lang, parts in waiting.items():
             waiting[lang] = [_merged(parts)]
         if sum(len(p[0][0]) for p in waiting.values()) > _KEPT:
@@ -93,6 +95,7 @@ def profiles(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text"
     At most ``max_languages`` x ``size`` numbers come to the driver; more languages are an error.  Ties go to the
     smaller n-gram.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(

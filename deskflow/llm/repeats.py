@@ -26,7 +26,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from deskflow.llm.common import AT_ONCE
+from deskflow.llm.common import AT_ONCE, small_batches
 from deskflow.llm.suffix import permuted_common_prefixes, suffix_array
 from deskflow.sources.stage import stage
 
@@ -36,6 +36,7 @@ LEAST = 200
 _GRAM = 32
 _BUFFER = 1 << 17
 _SHARD = 1 << 18
+_CROWD = 2048
 # Bytes that UTF-8 never uses, one higher: the mark after a piece.
 _MARK = 255
 
@@ -239,11 +240,12 @@ def _keyed(docs: DataFrame, text_col: str) -> tuple[Column, Column]:
     return F.unhex(F.md5(data)), data
 
 
-def spans_by_text(docs: DataFrame, text_col: str = "text", least: int = LEAST, crowd: int = 8192,
+def spans_by_text(docs: DataFrame, text_col: str = "text", least: int = LEAST, crowd: int = _CROWD,
                   shard_bytes: int = _SHARD) -> DataFrame:
     """(tid, spans, kept_sha256) of every distinct text that loses bytes; ``tid`` is the MD5 of its UTF-8 bytes."""
     if least < _GRAM:
         raise ValueError(f"Repeats of fewer than {_GRAM} bytes have no anchor.")
+    small_batches(docs.sparkSession)
     tid, data = _keyed(docs, text_col)
     texts = docs.select(tid.alias("tid"), data.alias("data")).where(F.octet_length("data") >= least)
     flat = texts.select("tid", pieces_of(F.col("data"), least).alias("p")).select("tid", F.inline("p"))
@@ -293,7 +295,7 @@ def spans_by_text(docs: DataFrame, text_col: str = "text", least: int = LEAST, c
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-            crowd: int = 8192) -> DataFrame:
+            crowd: int = _CROWD) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept_sha256) of every row; spans are maximal runs of removed bytes.
 
     Null text: no bytes.  Of repeated rows all lose what they share, each being elsewhere for the others.  Null ids
@@ -321,7 +323,7 @@ def _kept_text(data: bytes, spans: list[dict]) -> str:
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars", least: int = LEAST,
-                    crowd: int = 8192) -> DataFrame:
+                    crowd: int = _CROWD) -> DataFrame:
     """All rows and columns of ``docs``, with the text left after the cut, and its length where there is such a column.
 
     Only whole characters go: of one that is partly covered nothing is removed.
@@ -331,8 +333,10 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length_col: str = "
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in batches:
-            yield pa.array([t if not s else _kept_text(t.encode(), s) for t, s in zip(texts.to_pylist(), spans.to_pylist())],
-                           pa.string())
+            for k in range(0, len(texts), AT_ONCE):
+                pairs = zip(texts.slice(k, AT_ONCE).to_pylist(), spans.slice(k, AT_ONCE).to_pylist())
+                yield pa.array([t if not s else _kept_text(t.encode(), s) for t, s in pairs], pa.string())
+            pa.default_memory_pool().release_unused()
 
     # The columns travel as one, so that none can clash with those of the spans.
     rows = docs.select(F.struct("*").alias("_row"), tid.alias("_tid"))
