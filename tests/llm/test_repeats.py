@@ -107,3 +107,17 @@ def test_query(spark, docs):
     assert [tuple(r)[1:] for r in got] == brute([r["text"] for r in rows])
     assert sum(r["n_removed"] for r in got) > 0
     assert repeats.without_repeats(docs).select(F.sum("n_chars")).first()[0] > 0
+
+
+def test_small_batches_only_lowers(spark):
+    from deskflow.llm.common import small_batches
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for start, want in (("10000", "1024"), ("0", "1024"), ("100", "100")):
+            spark.conf.set(key, start)
+            small_batches(spark)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
