@@ -702,9 +702,11 @@ def rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
 # ---- models ---------------------------------------------------------------------------------------------
 
 def fitted(spark: SparkSession, sf: str) -> tuple[predict.SupportAgent, DataFrame]:
-    """Agent fitted on the training split, and the splits."""
-    splits = stage.stage(datasets.build_splits(thread_table(spark, sf)), "splits")
-    return predict.SupportAgent.fit(datasets.split_of(splits, "train")), splits
+    """Agent fitted on the training split, with every thread that is not held out as a past case, and the splits."""
+    table = thread_table(spark, sf)
+    splits = stage.stage(datasets.build_splits(table), "splits")
+    past = datasets.index_rows(table, splits.filter("split <> 'train'"))
+    return predict.SupportAgent.fit(datasets.split_of(splits, "train"), past), splits
 
 
 @query
