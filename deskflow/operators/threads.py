@@ -106,12 +106,14 @@ def build_threads(posts: DataFrame, brand: str = fixed.BRAND, min_chars: int = f
 def turn_pairs(conversations: DataFrame, span: int = 4096) -> DataFrame:
     """Each user turn with the assistant turn that follows it, also across a gap in the numbers.
 
+    Rows that repeat a turn follow each other by role, then text (null first).
+
     Turns are ordered within ranges of ``span`` numbers, so a very long conversation spreads over all tasks.  The last
     turn of a range is followed by the first of the next range that has any; only these first turns, one per range,
     are ordered by conversation.
     """
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn("_range", F.floor(F.col("turn") / span))
-    one = W.partitionBy("conv_id", "_range").orderBy("turn")
+    one = W.partitionBy("conv_id", "_range").orderBy("turn", "role", "text")
     first = rows.groupBy("conv_id", "_range").agg(F.min(F.struct("turn", "role", "text")).alias("_head"))
     after = first.select("conv_id", "_range", F.lead("_head").over(
         W.partitionBy("conv_id").orderBy("_range")).alias("_head"))

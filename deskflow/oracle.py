@@ -310,13 +310,13 @@ ORACLE: dict[str, str] = {
     "escalated_flag": f"WITH {_JUDGED} SELECT event_id, CASE WHEN route = 'ESCALATE' THEN 1 ELSE 0 END AS escalated FROM judged",
     # joins
     "thread_pairs": f"WITH {_REPLIES} SELECT p.tweet_id, p.text, r.gold_reply FROM posts p JOIN replies r ON p.tweet_id = r.in_response_to_tweet_id WHERE {_flag('p.inbound')}",
-    "turn_pairs": "SELECT conv_id, turn, text AS tweet, reply AS gold_reply FROM (SELECT *, lead(text) OVER w AS reply, lead(role) OVER w AS next_role FROM conversations WHERE (conv_id + turn) % 5 <> 1 AND (turn < 3 OR conv_id % 4 <> 1) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t WHERE role = 'user' AND next_role = 'assistant'",
+    "turn_pairs": "SELECT conv_id, turn, text AS tweet, reply AS gold_reply FROM (SELECT *, lead(text) OVER w AS reply, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST)) t WHERE role = 'user' AND next_role = 'assistant'",
     "holdout_anti": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = d.text) AND NOT EXISTS (SELECT 1 FROM documents u JOIN labels l ON u.doc_id = l.doc_id WHERE l.quality = 0 AND u.text = d.text)",
     "topup_anti": f"WITH {_CUSTOMERS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY intent ORDER BY {_key('tweet_id')}, tweet_id) AS rn FROM customers WHERE intent IS NOT NULL) SELECT tweet_id, intent FROM ranked WHERE rn > 23",
     "topk_retrieve": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "topk_retrieve_large": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "attach_metadata": f"WITH {_INDEX}, {_hits('embeddings', 'idx', 'vec_id', 'id')} SELECT h.query_id, h.rank, h.id, h.similarity, i.tweet, i.apple_reply, i.intent FROM hits h JOIN idx i ON h.id = i.id",
-    "attach_truth": f"WITH {_THREADS} SELECT tweet_id, intent, CASE WHEN CAST(tweet_id AS BIGINT) % 3 = 0 THEN 'general_inquiry' ELSE intent END AS ground_truth_intent, 'AUTO' AS ground_truth_escalate, '' AS gold_reply FROM labelled WHERE CAST(tweet_id AS BIGINT) % 11 <> 0",
+    "attach_truth": f"WITH {_THREADS} SELECT tweet_id, intent, CASE WHEN CAST(tweet_id AS BIGINT) % 3 = 0 THEN 'general_inquiry' ELSE intent END AS ground_truth_intent, 'AUTO' AS ground_truth_escalate, '' AS gold_reply FROM labelled",
     "label_decode": f"WITH {_CUSTOMERS} SELECT tweet_id, CAST(list_position({sorted(fixed.INTENTS)}, intent) - 1 AS DOUBLE) AS label_index, intent AS decoded FROM customers WHERE intent IS NOT NULL",
     # aggregations
     "intent_counts": f"WITH {_CUSTOMERS} SELECT intent, count(*) AS n FROM customers WHERE intent IS NOT NULL GROUP BY intent",

@@ -74,10 +74,12 @@ def test_rules_with_a_guard(spark):
 def test_turns_across_gaps(spark):
     rows = [(1, t, "user" if t % 10 == 0 else "assistant", f"t{t}") for t in (0, 3, 10, 20, 29, 40, 55)]
     rows += [(2, 0, "user", "alone"), (3, -5, "user", "q"), (3, 9000, "assistant", "far away")]
+    rows += [(4, 1, "user", "q"), (4, 1, "assistant", "z"), (4, 1, "user", None), (4, 2, "assistant", "a"), (4, 2, "assistant", "b")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     for span in (1, 4, 4096):
         got = sorted(map(tuple, threads.turn_pairs(df, span).collect()))
-        assert got == [(1, 0, "t0", "t3"), (1, 20, "t20", "t29"), (1, 40, "t40", "t55"), (3, -5, "q", "far away")]
+        assert got == [(1, 0, "t0", "t3"), (1, 20, "t20", "t29"), (1, 40, "t40", "t55"), (3, -5, "q", "far away"),
+                       (4, 1, "q", "a")]
 
 
 def test_null_scores_are_no_scores(spark):
