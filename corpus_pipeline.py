@@ -1,10 +1,9 @@
 """A training corpus from the documents table: each stage is written as Parquet and read by the next one."""
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskflow.functions.columns import compute_once
-from deskflow.llm import bpe, decontaminate, language, repeats, resemble
+from deskflow.llm import bpe, decontaminate, language, repeats, simhash
 from deskflow.llm.common import table
 from deskflow.sources.stage import new_path
 
@@ -25,8 +24,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by sharing 0.8 or more of their five-word shingles."""
-    return resemble.keep_one(docs)
+    """One document of each group whose fingerprints (three-word shingles) are linked by two differing bits or fewer."""
+    return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +41,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of every document, and the digest of what they decode to."""
+    import public_tokenizers
+
     # Python workers live on through the stages, so they remember fewer words than by default.
     coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), cache_rows=1 << 17)
     return coded.select(F.col("id").alias("doc_id"), "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
