@@ -68,4 +68,45 @@ gone AS (SELECT row, CAST(sum(e - a) AS BIGINT) AS n_removed, count(*) AS n_span
 SELECT doc_id, CAST(size AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
 FROM n JOIN kept USING (row) LEFT JOIN gone USING (row)"""
 
-ORACLE: dict[str, str] = {"op1_decontaminate": _DECONTAMINATE, "op3_warc": _ARCHIVE, "op8_chat": _CHAT, "op10_repeats": _REPEATS}
+_WHITE = r"\x20\x09-\x0D"
+_DRAWS = ", ".join(f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+_CUT = f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+  regexp_extract_all(coalesce(text, ''), '[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+') AS u FROM documents),
+h AS (SELECT *, CAST(len(u) AS BIGINT) AS n, {_DRAWS} FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+   WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(list_slice(u, 1, a), '') AS pre, array_to_string(list_slice(u, a + 1, b), '') AS mid,
+  array_to_string(list_slice(u, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+ CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars, sha256(CASE form WHEN 'plain' THEN text
+  WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid) ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+ sha256(text) AS restored_sha256 FROM p"""
+
+# Stretches of equal words at a distance, from pairs of equal strings of 16 words: a run has that many at least.
+_PERIODS = f"""WITH crc AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^{_WHITE}]+') AS w0,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) AS h FROM documents, crc),
+n AS (SELECT *, CAST(len(w0) AS BIGINT) AS n, h // 10 AS g FROM d),
+s AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM n WHERE n > 0),
+x AS (SELECT row, i, w0[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS x
+  FROM (SELECT row, w0, h, a, p, unnest(range(0, n)) AS i FROM s) s0),
+w AS (SELECT row, list(x ORDER BY i) AS w FROM x GROUP BY row),
+g AS (SELECT row, i, md5(array_to_string(list_slice(w, i + 1, i + 16), ' ')) AS g FROM (SELECT row, w, unnest(range(0, len(w) - 15)) AS i
+  FROM w WHERE len(w) >= 24) w0),
+q AS (SELECT a.row, a.i, b.i - a.i AS q FROM g a JOIN g b ON a.row = b.row AND a.g = b.g AND a.i < b.i),
+e AS (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS span FROM q),
+f AS (SELECT row, q, min(i) AS start, count(*) + 15 + q AS length FROM e GROUP BY row, q, span),
+r AS (SELECT row, start, length, min(q) AS period FROM f WHERE length >= greatest(24, 3 * q) GROUP BY row, start, length),
+k AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS rank FROM r),
+o AS (SELECT row, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS listed FROM r GROUP BY row),
+z AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM r),
+l AS (SELECT x.row, string_agg(x.x, ' ' ORDER BY x.i) AS left_over FROM x LEFT JOIN z ON x.row = z.row AND x.i = z.i WHERE z.i IS NULL GROUP BY x.row)
+SELECT d.doc_id, coalesce(o.n_runs, 0) AS n_runs, k.start, k.length, k.period, 1000 * k.length // k.period AS exponent_milli,
+ sha256(coalesce(o.listed, '')) AS runs_sha256, sha256(coalesce(l.left_over, '')) AS collapsed_sha256
+FROM d LEFT JOIN o ON d.row = o.row LEFT JOIN k ON d.row = k.row AND k.rank = 1 LEFT JOIN l ON d.row = l.row"""
+
+ORACLE: dict[str, str] = {"op1_decontaminate": _DECONTAMINATE, "op3_warc": _ARCHIVE, "op8_chat": _CHAT, "op10_repeats": _REPEATS,
+                          "op12_middle": _CUT, "op13_periods": _PERIODS}

@@ -3,7 +3,10 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deskflow.llm import bpe, chat, decontaminate, language, licence, repeats, simhash, sketch, tokencount, warc
+from deskflow.functions.columns import compute_once
+from deskflow.llm import (
+    bpe, chat, decontaminate, language, licence, middle, periodic, pieces, repeats, simhash, sketch, tokencount, warc,
+)
 from deskflow.llm.common import table
 from deskflow.sources.stage import stage
 
@@ -83,6 +86,50 @@ def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    found = pieces.encode_decode(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op12_middle(spark: SparkSession, sf: str) -> DataFrame:
+    found = middle.fill_in_middle(table(spark, sf, "documents"))
+    back = middle.restored(F.col("form"), F.col("output"))
+    return found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+                        F.sha2(F.encode(back, "UTF-8"), 256).alias("restored_sha256"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents the words from one on repeat a stretch of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    split = compute_once(docs.select("doc_id", "text"), _words=words, _g=F.floor(h / 10))
+    n, g = F.size("_words").cast("long"), F.col("_g")
+    begin = g % n
+    sized = compute_once(split, _a=F.when(n > 0, begin), _p=F.when(n > 0, 1 + F.floor((n - begin) / (3 + g % 8))))
+    a, p = F.col("_a"), F.col("_p")
+    repeated = F.transform("_words", lambda w, i: F.when(i < a, w).otherwise(F.get("_words", (a + (i - a) % p).cast("int"))))
+    return sized.select("doc_id", F.when(a.isNull(), F.col("text")).otherwise(F.array_join(repeated, " ")).alias("text"))
+
+
+def op13_periods(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.repeated_periods(with_planted_periods(table(spark, sf, "documents")))
+    nothing = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    # Runs come by start, then period, so the first of equal ones stays.
+    best = F.aggregate("runs", nothing, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    named = compute_once(found, b=best)
+    return named.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "b.start", "b.length", "b.period",
+        F.expr("b.length * 1000 div b.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_licences": op2_licences, "op3_warc": op3_warc,
            "op4_simhash": op4_simhash, "op5_sketch": op5_sketch, "op6_token_counts": op6_token_counts,
-           "op7_language": op7_language, "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_repeats": op10_repeats}
+           "op7_language": op7_language, "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_repeats": op10_repeats, "op11_pieces": op11_pieces,
+           "op12_middle": op12_middle, "op13_periods": op13_periods}
