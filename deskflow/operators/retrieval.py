@@ -6,9 +6,9 @@ Two plans with the same result:
 
 * ``topk_small``  The index fits a checked number of bytes: it is sent to all tasks once and the queries are
   scored where they are read.  No shuffle.
-* ``topk_large``  Any index size.  The smaller side, queries or index, goes to all tasks in chunks of a bounded number
-  of bytes, one chunk at a time; the larger side stays where it is read.  Every task keeps the k best per query
-  of what it has seen, so only those cross the shuffle.
+* ``topk_large``  Any size of both sides.  The distinct vectors of queries and index are dealt to blocks of a bounded number of bytes, and every
+  query block meets every index block in a task of its own, by a join on the number of the pair.  The k best per query
+  of each meeting are merged.  Nothing passes through the driver and nothing is broadcast.
 """
 
 import math
@@ -22,12 +22,12 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_type
 
 from deskflow import fixed
-from deskflow.functions.kernels import best_rows, list_array, matrix_of, merge_best, unit_rows
+from deskflow.functions.kernels import best_rows, list_array, matrix_of, unit_rows
 from deskflow.functions.vectors import norm
 from deskflow.sources.stage import stage
 
 SMALL_INDEX_BYTES = 64 * 1024 * 1024
-CHUNK_BYTES = 64 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
 _META = ("tweet", "apple_reply", "intent")
 
 
@@ -84,69 +84,71 @@ def topk_small(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     return hits.select("query_id", (F.col("rank") + 1).alias("rank"), "hit.id", "hit.similarity")
 
 
-def topk_large(queries: DataFrame, index: DataFrame, k: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Search in an index of any size; ``query_id`` names a query and is not null."""
-    q_bytes, i_bytes = index_bytes(queries, "q_vector"), index_bytes(index, "i_vector")
-    by_queries = q_bytes < i_bytes
-    chunked, key = (queries, "query_id") if by_queries else (index, "id")
-    # Measured sizes; rows are dealt by hash, so a chunk is of about the size asked for.
-    chunks = max(1, math.ceil(min(q_bytes, i_bytes) / chunk_bytes))
-    vector = "q_vector" if by_queries else "i_vector"
-    dealt = chunked if chunks == 1 else stage(
-        chunked.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), vector), F.lit(chunks))),
-        "chunks")
-    parts = []
-    for c in range(chunks):
-        part = chunked if chunks == 1 else dealt.filter(F.col("chunk") == c).drop("chunk")
-        parts.append(_by_queries(part, index, k) if by_queries else _by_index(queries, part, k))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
-    best_first = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.col("id").asc_nulls_last())
-    ranked = found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "id", "similarity")
-
-
-def _by_index(queries: DataFrame, part: DataFrame, k: int) -> DataFrame:
-    """The k best of one chunk of the index for each query, where the query is read."""
-    return topk_small(queries, part, k).select("query_id", "id", "similarity")
-
-
-def _by_queries(part: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """The k best that each task finds in its share of the index for one chunk of queries."""
-    table = part.select("query_id", "q_vector").toArrow()
-    names = table.column("query_id").combine_chunks()
-    shared = index.sparkSession.sparkContext.broadcast((names, unit_rows(matrix_of(table.column("q_vector")))))
-    id_kind, q_kind = index.schema["id"].dataType, part.schema["query_id"].dataType
-    id_type = to_arrow_type(id_kind)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, asked = shared.value
-        # Ids and similarities of the k best so far, one row per query.
-        ids, best = pa.array([], id_type), np.zeros((len(asked), 0))
-        kept = np.zeros((len(asked), 0), dtype=np.int64)
-        for batch in batches:
-            if not len(batch) or not len(asked):
-                continue
-            rows = pa.Table.from_batches([batch]).sort_by("id")
-            places, scores = best_rows(asked, unit_rows(matrix_of(rows.column("i_vector"))), k)
-            pool = pa.concat_arrays([ids, rows.column("id").combine_chunks().cast(id_type)])
-            order = pc.rank(pool, sort_keys="ascending", null_placement="at_end", tiebreaker="first").to_numpy()
-            kept, best = merge_best(kept, best, places + len(ids), scores, order.astype(np.int64) - 1, k)
-            # Only the ids still named go on to the next batch.
-            used, back = np.unique(kept, return_inverse=True)
-            ids, kept = pool.take(pa.array(used)), back.reshape(kept.shape)
-        width = kept.shape[1]
-        step = max(1, 100_000 // max(width, 1))
-        for start in range(0, len(asked) if width else 0, step):
-            block = slice(start, start + step)
-            n = len(kept[block])
-            yield pa.RecordBatch.from_arrays([
-                names.take(pa.array(np.repeat(np.arange(start, start + n), width))),
-                ids.take(pa.array(kept[block].ravel())), pa.array(best[block].ravel())], ["query_id", "id", "similarity"])
-
-    kind = f"query_id {q_kind.simpleString()}, id {id_kind.simpleString()}, similarity double"
-    return index.select("id", "i_vector").mapInArrow(search, kind)
+def _written(rows: DataFrame, vector: str) -> DataFrame:
+    """Rows with a number and 128 bits of hash of their vector, which know equal vectors."""
+    return stage(rows.select(
+        "*", F.monotonically_increasing_id().alias("_row"), F.xxhash64(vector).alias("_h1"),
+        F.xxhash64(F.lit(1), vector).alias("_h2")), "search")
+
+
+def _blocks(written: DataFrame, distinct: DataFrame, vector: str, block_bytes: int) -> int:
+    """Number of blocks for the distinct vectors, whose width is that of any of them."""
+    width = written.select(F.size(vector)).first()
+    wide = 4 if written.schema[vector].dataType.elementType.typeName() == "float" else 8
+    return max(1, math.ceil(distinct.count() * (wide * (width[0] if width else 0) + 16) / block_bytes))
+
+
+def topk_large(queries: DataFrame, index: DataFrame, k: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Search in an index of any size; ``query_id`` names a query and is not null.
+
+    Equal vectors are searched once, and of equal vectors of the index only the k lowest ids matter; both are grouped by
+    narrow rows, limited before their shuffle, so a vector that most rows have is no heavier than others.  Distinct
+    vectors are dealt to blocks by a hash of their number.  Each side is sent once per block of the other, so bytes
+    shuffled are those of a side times the blocks of the other.
+    """
+    asked = _written(queries.select("query_id", "q_vector"), "q_vector")
+    entries = _written(index.select("id", "i_vector"), "i_vector")
+    speakers = stage(asked.groupBy("_h1", "_h2").agg(F.min("_row").alias("asked")), "speakers")
+    by_id = W.partitionBy("_h1", "_h2").orderBy(F.col("id").asc_nulls_last(), "_row")
+    low = entries.select("_h1", "_h2", "id", "_row").withColumn("_n", F.row_number().over(by_id)).filter(F.col("_n") <= k)
+    named = stage(low.groupBy("_h1", "_h2").agg(F.array_sort(F.collect_list(F.struct("_n", "_row", "id"))).alias("_all")).select(
+        F.col("_all")[0]["_row"].alias("_row"), F.transform("_all", lambda e: e["id"]).alias("ids")), "named")
+    n_asked = _blocks(asked, speakers, "q_vector", block_bytes)
+    n_entries = _blocks(entries, named, "i_vector", block_bytes)
+    pairs = n_asked * n_entries
+
+    def dealt(rows: DataFrame, own: int, other: int, pair) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("_other")
+        block = F.pmod(F.xxhash64("_row"), F.lit(own)).cast("int").alias("_block")
+        return rows.select("*", block, every).withColumn("pair", pair).drop("_block", "_other").repartition(pairs, "pair")
+
+    left = dealt(asked.select("_row", "q_vector").join(speakers.select(F.col("asked").alias("_row")), "_row"), n_asked, n_entries,
+                 F.col("_block") * n_entries + F.col("_other"))
+    right = dealt(entries.select("_row", "i_vector").join(named, "_row"), n_entries, n_asked,
+                  F.col("_other") * n_entries + F.col("_block"))
+    kind = index.schema["id"].dataType
+    types = [pa.int64(), pa.list_(to_arrow_type(kind)), pa.float64()]
+    names = ["asked", "ids", "similarity"]
+
+    def meet(q: pa.Table, i: pa.Table) -> pa.Table:
+        if not len(q) or not len(i):
+            return pa.table([pa.array([], t) for t in types], names=names)
+        i = i.append_column("first", pc.list_element(i.column("ids"), 0)).sort_by("first")
+        places, scores = best_rows(unit_rows(matrix_of(q.column("q_vector"))), unit_rows(matrix_of(i.column("i_vector"))), k)
+        taken = q.column("_row").take(pa.array(np.repeat(np.arange(len(q)), places.shape[1])))
+        return pa.table([taken, i.column("ids").take(pa.array(places.ravel())).cast(types[1]), pa.array(scores.ravel())], names=names)
+
+    # One task per pair of blocks, as far as hashing deals them out.
+    found = left.groupBy("pair").cogroup(right.groupBy("pair")).applyInArrow(
+        meet, f"asked long, ids array<{kind.simpleString()}>, similarity double")
+    # The k best vectors, the one with the lower id first, then the k best of their ids.
+    best_first = W.partitionBy("asked").orderBy(F.desc("similarity"), F.col("ids")[0].asc_nulls_last())
+    vectors = found.withColumn("_n", F.row_number().over(best_first)).filter(F.col("_n") <= k)
+    one = vectors.select("asked", "similarity", F.explode("ids").alias("id"))
+    ranked = one.withColumn("rank", F.row_number().over(W.partitionBy("asked").orderBy(
+        F.desc("similarity"), F.col("id").asc_nulls_last()))).filter(F.col("rank") <= k)
+    back = asked.select("query_id", "_h1", "_h2").join(speakers, ["_h1", "_h2"]).select("query_id", "asked")
+    return back.join(ranked, "asked").select("query_id", "rank", "id", "similarity")
 
 
 def attach_metadata(hits: DataFrame, index: DataFrame, index_id: str = "id") -> DataFrame:

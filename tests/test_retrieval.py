@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from deskflow.functions import kernels
 from deskflow.operators import retrieval
 
 
@@ -36,32 +37,66 @@ def data():
 
 
 @pytest.mark.parametrize("k", [1, 5, 1000])
-@pytest.mark.parametrize("chunk_bytes", [1 << 26, 900])
-def test_small_and_large_equal_brute_force(spark, data, k, chunk_bytes):
+@pytest.mark.parametrize("block_bytes", [1 << 26, 4000])
+def test_small_and_large_equal_brute_force(spark, data, k, block_bytes):
     q, m = data
     queries, index = frame(spark, q, "query_id", "q_vector"), frame(spark, m, "id", "i_vector")
     expected = brute_force(q, m, k)
     assert rows(retrieval.topk_small(queries, index, k)) == expected
-    # The queries are the smaller side here, and the index in the second search.
-    assert rows(retrieval.topk_large(queries.repartition(2), index.repartition(3), k, chunk_bytes)) == expected
+    assert rows(retrieval.topk_large(queries.repartition(2), index.repartition(3), k, block_bytes)) == expected
     back = retrieval.topk_large(
         index.withColumnsRenamed({"id": "query_id", "i_vector": "q_vector"}),
-        queries.withColumnsRenamed({"query_id": "id", "q_vector": "i_vector"}), k, 3 * chunk_bytes)
+        queries.withColumnsRenamed({"query_id": "id", "q_vector": "i_vector"}), k, 3 * block_bytes)
     assert rows(back) == brute_force(m, q, k)
 
 
-def test_little_is_shuffled(spark, data):
-    """Only the k best of each task cross the shuffle, however large the index is."""
+def test_nothing_passes_through_the_driver(spark, data, monkeypatch):
+    """Blocks meet in a join on their number, whatever their size; all the driver sees is two measured sizes."""
     q, m = data
-    queries, index = frame(spark, q[:12], "query_id", "q_vector"), frame(spark, m, "id", "i_vector").repartition(4)
-    found = retrieval.topk_large(queries, index, 2)
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan()
-    text = plan.toString()
-    assert "MapInArrow" in text and "CoGroup" not in text and "Cartesian" not in text
-    assert text.split("Exchange")[0].count("MapInArrow") <= 1
-    candidates = spark.createDataFrame(found.rdd.map(tuple), found.schema).count()
-    assert candidates == 24
+    queries, index = frame(spark, q, "query_id", "q_vector"), frame(spark, m, "id", "i_vector").repartition(4)
+    fetched = []
+    collect = type(queries).collect
+    monkeypatch.setattr(type(queries), "toArrow", None)
+    monkeypatch.setattr(type(queries), "collect", lambda df: fetched.append(collect(df)) or fetched[-1])
+    # Spark's own choice for small joins is put aside.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = retrieval.topk_large(queries, index, 2, 4000)
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.undo()
+    assert max(len(r) for r in fetched) == 1
+    assert "FlatMapCoGroupsInArrow" in text and "Broadcast" not in text and "Cartesian" not in text
+    assert found.count() == 2 * len(q)
+
+
+def test_rows_of_one_vector(spark):
+    """Two thirds of the index and of the queries have one id and vector."""
+    same = spark.range(600).selectExpr("if(id < 400, 7, id) AS id", "if(id < 400, array(1f, 0f), array(1f, float(id))) AS i_vector")
+    queries = same.selectExpr("id AS query_id", "i_vector AS q_vector").filter("query_id IN (7, 500)")
+    got = retrieval.topk_large(queries, same.repartition(3), 3, 200).groupBy("query_id", "rank", "id").count().collect()
+    assert {tuple(r) for r in got if r["query_id"] == 7} == {(7, 1, 7, 400), (7, 2, 7, 400), (7, 3, 7, 400)}
+    assert {r["rank"]: r["count"] for r in got if r["query_id"] == 500} == {1: 1, 2: 1, 3: 1}
+
+
+@pytest.mark.parametrize("n, dim, k", [(1, 3, 5), (50, 8, 1), (9000, 6, 7), (5000, 300, 5), (300, 1, 4)])
+def test_kernel_equals_double_precision(n, dim, k):
+    """Many near ties: vectors of small whole numbers, in copies, and nearly equal ones."""
+    rng = np.random.default_rng(n)
+    index = rng.integers(-1, 2, (n, dim)).astype(float) + 1e-7 * rng.normal(size=(n, dim)) * (rng.random((n, 1)) < 0.3)
+    index[n // 3:2 * n // 3] = index[0]
+    queries = np.vstack([index[rng.integers(0, n, 300)], rng.normal(size=(30, dim)), np.zeros((1, dim))])
+    queries, index = kernels.unit_rows(queries), kernels.unit_rows(index)
+    places, scores = kernels.best_rows(queries, index, k)
+    all_scores = np.rint(queries @ index.T * 1e6)
+    want = np.argsort(-all_scores, axis=1, kind="stable")[:, :k]
+    mine = np.take_along_axis(all_scores, places, axis=1)
+    assert (np.abs(mine - np.take_along_axis(all_scores, want, axis=1)) <= 1).all()
+    # Where no product lies at a half, places are equal.
+    clear = (np.abs(np.abs(queries @ index.T * 1e6 % 1) - 0.5) > 1e-3).all(axis=1)
+    assert (places[clear] == want[clear]).all() and clear.any()
+    assert np.allclose(scores * 1e6, mine, atol=1.1)
 
 
 @pytest.mark.parametrize("kind", ["string", "double", "date"])
