@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, IndexToString, Normalizer, RegexTokenizer,
     StringIndexerModel, VectorAssembler,
@@ -20,10 +20,13 @@ from pyspark.sql.functions import arrow_udf
 from deskflow import fixed
 from deskflow.functions.kernels import list_array, matrix_of
 from deskflow.functions.text import WORD_CLASS, embed_input
+from deskflow.operators.linear import SquaredHinge
 from deskflow.operators.terms import term_stats, terms
 from deskflow.sources.stage import exists
 
 ROWS_PER_PART = 8192
+# Blocks of the SVM should have more rows than the vocabulary has terms, to know the curvature.
+ROWS_PER_BLOCK = 16384
 _TEXT, _VECTOR = "_text", "_vector"
 
 
@@ -200,25 +203,29 @@ def decode_labels(df: DataFrame, classes: Sequence[str], output: str = "decoded"
 
 
 class SvmBaseline:
-    """TF-IDF of words and word pairs, one linear SVM per class.
+    """TF-IDF of words and word pairs, one linear SVM per class, with squared hinge loss and a penalised intercept.
 
     The vocabulary is that of ``term_stats``, ties by term, and a term weighs ln((1 + n) / (1 + df)) + 1, so a fit is
     the same every time.
     """
 
-    def __init__(self, features: PipelineModel, model, labels: StringIndexerModel) -> None:
+    def __init__(self, features: PipelineModel, model: SquaredHinge, labels: StringIndexerModel) -> None:
         self.features, self.model, self.labels = features, model, labels
 
     @staticmethod
     def _terms(df: DataFrame, text: str) -> DataFrame:
         return df.withColumn("_terms", terms(F.coalesce(F.col(text), F.lit(""))))
 
+    def _sparse(self, rows: DataFrame) -> DataFrame:
+        """Adds the entries of the vector, ``columns`` and ``cells``."""
+        made = self.features.transform(rows).withColumn("_parts", F.unwrap_udt(_VECTOR))
+        return made.withColumns({"columns": F.col("_parts.indices"), "cells": F.col("_parts.values")})
+
     @classmethod
     def fit(cls, df: DataFrame, text: str = "tweet", label: str = "intent", c: float = 1.0,
-            vocabulary: int = 5000, max_iter: int = 2000, tol: float = 1e-4) -> "SvmBaseline":
-        """``tol`` ends the iterations; ``max_iter`` only guards against a fit that does not converge."""
+            vocabulary: int = 5000, max_steps: int = 100, tol: float = 1e-7, rows_per_block: int = ROWS_PER_BLOCK) -> "SvmBaseline":
+        """``tol`` bounds the slope by row that is left; ``max_steps`` only guards against a fit that does not converge."""
         labels, n, _ = _label_table(df, label)
-        rows = labels.transform(cls._terms(df, text)).select("_terms", "_label")
         # At most ``vocabulary`` rows come to the driver.
         known = term_stats(df.filter(F.col(label).isNotNull()), text, vocabulary).select("term", "df").collect()
         weights = [math.log((1 + n) / (1 + r["df"])) + 1 for r in known]
@@ -227,25 +234,22 @@ class SvmBaseline:
             ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_counts", outputCol="_weighted"),
             Normalizer(inputCol="_weighted", outputCol=_VECTOR, p=2.0),
         ])
-        svm = LinearSVC(featuresCol=_VECTOR, labelCol="_label", regParam=1.0 / (c * max(n, 1)), maxIter=max_iter,
-                        tol=tol, standardization=False)
-        learner = OneVsRest(classifier=svm, featuresCol=_VECTOR, labelCol="_label", predictionCol="_class",
-                            parallelism=len(labels.labels))
-        # Read by every iteration of every class.  Sorted, so that sums are taken in one order.
-        vectors = features.transform(rows).select(_VECTOR, "_label", F.xxhash64("_terms").alias("_order")).repartition(
-            _training_parts(n), "_order").sortWithinPartitions("_order", "_label").select(_VECTOR, "_label").persist(
-                StorageLevel.MEMORY_AND_DISK)
-        try:
-            return cls(features, learner.fit(vectors), labels)
-        finally:
-            vectors.unpersist()
-
-    @property
-    def iterations(self) -> list[int]:
-        """Iterations used, by class."""
-        return [m.summary().totalIterations for m in self.model.models]
+        empty = cls(features, SquaredHinge(np.zeros((len(known) + 1, len(labels.labels))), 0, 0.0), labels)
+        rows = empty._sparse(labels.transform(cls._terms(df, text))).select(
+            F.col("_label").cast("int").alias("label"), "columns", "cells", F.xxhash64("_terms").alias("_order"))
+        empty.model = SquaredHinge.fit(rows, len(known), len(labels.labels), c, tol, max_steps, rows_per_block)
+        return empty
 
     def predict(self, df: DataFrame, text: str = "tweet", output: str = "intent") -> DataFrame:
-        scored = self.model.transform(self.features.transform(self._terms(df, text)))
-        named = IndexToString(inputCol="_class", outputCol="_named", labels=list(self.labels.labels)).transform(scored)
-        return named.select(*[c for c in df.columns if c != output], F.col("_named").alias(output))
+        shared = df.sparkSession.sparkContext.broadcast(self.model)
+
+        @arrow_udf("int")
+        def best(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for columns, cells in batches:
+                size = np.diff(columns.offsets.to_numpy())
+                scores = shared.value.scores(size, columns.flatten().to_numpy(), cells.flatten().to_numpy()) if len(size) else []
+                yield pa.array(np.argmax(scores, axis=1) if len(size) else [], pa.int32())
+
+        scored = self._sparse(self._terms(df, text)).withColumn("_class", best("columns", "cells"))
+        names = F.array(*[F.lit(n) for n in self.labels.labels])
+        return scored.select(*[c for c in df.columns if c != output], F.get(names, F.col("_class")).alias(output))

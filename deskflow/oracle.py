@@ -397,7 +397,7 @@ FROM idx i JOIN listed l ON i.id = l.query_id""",
     "predict_intent": "SELECT vec_id, true AS agrees FROM embeddings",
     "model_save_load": "SELECT vec_id, true AS same FROM embeddings",
     "train_intent": f"WITH {_SPLITS} SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(DISTINCT intent) FILTER (WHERE split = 'train') AS n_classes, true AS optimal, count(*) FILTER (WHERE split = 'validation') AS n_validation, count(*) FILTER (WHERE split = 'validation') AS n_reported FROM splits",
-    "baseline_tfidf_svm": f"WITH {_SPLITS} SELECT tweet_id, intent AS truth, true AS known, true AS converged, true AS learned FROM splits WHERE split = 'test'",
+    "baseline_tfidf_svm": f"WITH {_SPLITS} SELECT tweet_id, intent AS truth, true AS known, CAST(0 AS DOUBLE) AS slope, true AS learned FROM splits WHERE split = 'test'",
     "batch_predict": f"WITH {_CUSTOMERS} SELECT tweet_id, true AS routed, 5 AS neighbours, true AS short, true AS grounded FROM customers",
     "predict_file": f"WITH {_POSTS}, asked AS (SELECT {_strip('text')} AS tweet FROM posts WHERE {_flag('inbound')}) SELECT tweet, count(*) AS n, count(*) AS n_ids FROM asked GROUP BY tweet",
     "evaluate_agent": f"WITH {_SPLITS} SELECT count(*) AS eval_samples, true AS all_rows, true AS intents_agree, true AS routes_agree FROM splits WHERE split = 'test'",

@@ -749,7 +749,7 @@ def baseline_tfidf_svm(spark, sf):
     learned = model.predict(train.select("tweet", F.col("intent").alias("truth")), output="predicted").agg(
         F.avg((F.col("truth") == F.col("predicted")).cast("double"))).scalar()
     return rows.select("tweet_id", "truth", F.col("predicted").isin(fixed.INTENTS).alias("known"),
-                       F.lit(max(model.iterations) < 2000).alias("converged"), (learned > 0.95).alias("learned"))
+                       F.lit(round(model.model.slope, 6)).alias("slope"), (learned > 0.95).alias("learned"))
 
 
 @query
