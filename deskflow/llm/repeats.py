@@ -12,8 +12,10 @@ In a shard the pieces lie one after another, with a mark after each, and get a s
 permuted common prefixes cut it into classes of suffixes that agree in ``least`` bytes; a class with two windows is a
 repeat.  Each window begins in one piece only, so no text is compared with itself.
 
-An anchor with more than ``crowd`` different pieces would make a shard too large for a task; the windows of its pieces are
-counted one by one by a digest instead, with a sum before the shuffle.  The result is the same.
+An anchor with more than ``crowd`` different pieces, a line that very many documents share, would make a shard too large
+for a task.  Its pieces are cut again by anchors of another hash: windows that are equal still choose alike, and most
+choose outside the shared line and stand alone.  So a few rounds leave next to nothing crowded.  What is then still
+crowded is counted window by window by a digest, with a sum before the shuffle.  The result is the same.
 """
 
 import hashlib
@@ -37,20 +39,25 @@ _GRAM = 32
 _BUFFER = 1 << 17
 _SHARD = 1 << 18
 _CROWD = 2048
+_ROUNDS = 4
 # Bytes that UTF-8 never uses, one higher: the mark after a piece.
 _MARK = 255
 
 _PIECES = "array<struct<h:long,d:long,a:int,n:int>>"
 
 
-def _pieces_in(b: np.ndarray, low: np.ndarray, high: np.ndarray, least: int):
-    """Pieces of the texts b[low:high]: text number, anchor hash, digest, first window, windows."""
+def _pieces_in(b: np.ndarray, low: np.ndarray, high: np.ndarray, least: int, level: int = 0):
+    """Pieces of the texts b[low:high]: text number, anchor hash, digest, first window, windows.
+
+    Each ``level`` has a hash of its own.
+    """
     n = len(b)
     words = np.ndarray((n - 7,), "<u8", b, strides=(1,))
     grams = n - _GRAM + 1
     h = np.zeros(grams, np.uint64)
     for k, odd in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)):
         h += words[8 * k:8 * k + grams] * np.uint64(odd)
+    h += np.uint64(level * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xFF51AFD7ED558CCD)
     h ^= h >> np.uint64(29)
@@ -189,6 +196,45 @@ def _sharded(least: int, target: int):
     return run
 
 
+def _cut_again(least: int, level: int):
+    """Pieces of the pieces of crowded anchors, by the anchors of another hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, len(whole), AT_ONCE):
+                batch = whole.slice(k, AT_ONCE)
+                pieces = batch.column("piece").to_pylist()
+                length = np.array([len(p) for p in pieces])
+                low = np.cumsum(length) - length
+                data = b"".join(pieces)
+                who, h, d, begin, size = _pieces_in(np.frombuffer(data, np.uint8), low, low + length, least, level)
+                own = pa.array(who)
+                mixed = (batch.column("h").to_numpy()[who] * np.int64(0x5851F42D4C957F2D)) ^ h
+                first = batch.column("a").to_numpy()[who] + begin - low[who]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(mixed), pa.array(d), batch.column("tid").take(own), pa.array(first.astype(np.int32)),
+                    pa.array(size.astype(np.int32)), batch.column("copies").take(own),
+                    pa.array([data[b:b + n + least - 1] for b, n in zip(begin.tolist(), size.tolist())], pa.binary())],
+                    ["h", "d", "tid", "a", "n", "copies", "piece"])
+
+    return run
+
+
+def _finer(crowded: DataFrame, least: int, level: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Of pieces of crowded anchors: those that repeat whole (tid, a, n), and one of each of the others, with ``crowded``.
+
+    A piece that is there more than once only weighs in with its copies, for its windows are known to repeat.
+    """
+    cut = stage(crowded.mapInArrow(_cut_again(least, level), "h long, d long, tid binary, a int, n int, copies long, piece binary"),
+                "finer")
+    kinds = cut.groupBy("h", "d").agg(F.sum("copies").alias("all"), F.min(F.struct("tid", "a")).alias("rep"))
+    size = kinds.groupBy("h").agg(F.count("*").alias("kinds"))
+    kinds = stage(kinds.join(size, "h").where("kinds > 1 OR all > 1"), "kinds")
+    whole = cut.where("copies = 1").select("h", "d", "tid", "a", "n").join(kinds.where("all > 1").select("h", "d"), ["h", "d"])
+    some = kinds.where("kinds > 1").select("h", "rep.tid", "rep.a", "all", (F.col("kinds") > crowd).alias("crowded"))
+    rest = cut.drop("copies", "d").join(some, ["h", "tid", "a"]).withColumnRenamed("all", "copies")
+    return whole.select("tid", "a", "n"), rest.select("h", "tid", "a", "n", "copies", "piece", "crowded")
+
+
 def _windows(least: int):
     """One row per window of the pieces of a crowded anchor, with a digest of 128 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,9 +294,9 @@ def spans_by_text(docs: DataFrame, text_col: str = "text", least: int = LEAST, c
     small_batches(docs.sparkSession)
     tid, data = _keyed(docs, text_col)
     texts = docs.select(tid.alias("tid"), data.alias("data")).where(F.octet_length("data") >= least)
-    flat = texts.select("tid", pieces_of(F.col("data"), least).alias("p")).select("tid", F.inline("p"))
-    # Written before it is joined: then both sides of the join come from plain shuffles, and the share of an anchor that
-    # very many texts have can be split among tasks.
+    # Written, as it is read twice.  So is what it is joined with: then both sides come from plain shuffles, and the share of
+    # an anchor that very many texts have can be split among tasks.
+    flat = stage(texts.select("tid", pieces_of(F.col("data"), least).alias("p")).select("tid", F.inline("p")), "flat")
     several = stage(flat.groupBy("h").agg(F.count("*").alias("rows"), F.min("d").alias("d0"), F.max("d").alias("d1")).where(
         "rows > 1").select("h", F.expr("d0 = d1").alias("alike")), "anchors")
     joined = stage(flat.join(several, "h"), "pieces")
@@ -273,9 +319,20 @@ def spans_by_text(docs: DataFrame, text_col: str = "text", least: int = LEAST, c
     asked = found.select("tid", "data", F.explode(F.filter("marks", lambda m: m["h"].isNotNull())).alias("m"))
     pieces = asked.select("m.h", "tid", "m.a", "m.n", "m.copies", "m.crowded", F.expr(
         f"substring(data, m.a + 1, m.n + {least - 1})").alias("piece"))
-    ranges = pieces.where("NOT crowded").drop("crowded").repartition("h").sortWithinPartitions("h").mapInArrow(
+    plain, left, known = pieces.where("NOT crowded").drop("crowded"), pieces.where("crowded").drop("crowded"), []
+    for level in range(1, _ROUNDS + 1):
+        if (mixed if level == 1 else rest).where("crowded").isEmpty():
+            break
+        whole, rest = _finer(left, least, level, crowd)
+        rest = stage(rest, "rest")
+        known.append(whole)
+        plain = plain.unionByName(rest.where("NOT crowded").drop("crowded"))
+        left = rest.where("crowded").drop("crowded")
+    ranges = plain.repartition("h").sortWithinPartitions("h").mapInArrow(
         _sharded(least, shard_bytes), "tid binary, a int, n int")
-    windows = pieces.where("crowded").mapInArrow(_windows(least), "w binary, tid binary, a int, copies long")
+    for whole in known:
+        ranges = ranges.union(whole)
+    windows = left.mapInArrow(_windows(least), "w binary, tid binary, a int, copies long")
     again = windows.groupBy("w").agg(F.sum("copies").alias("all")).where("all > 1").select("w")
     ranges = ranges.union(windows.where("copies = 1").join(again, "w").select("tid", "a", F.lit(1).alias("n")))
     more = stage(ranges.groupBy("tid").agg(F.collect_list(F.struct("a", "n")).alias("more")), "ranges")
