@@ -270,6 +270,15 @@ def topk_retrieve_large(spark, sf):
         fixed.TOP_K)
 
 
+@query
+def topk_retrieve_lsh(spark, sf):
+    """Approximate search over cells: every fiftieth vector asks, all rows are in the index."""
+    e = derived.table(spark, sf, "embeddings")
+    return retrieval.topk_cells(
+        e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q_vector")),
+        e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("i_vector")), fixed.TOP_K)
+
+
 @query
 def attach_metadata(spark, sf):
     index = derived.view(spark, sf, derived.INDEX)

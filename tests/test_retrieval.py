@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from deskflow.functions import kernels
 from deskflow.operators import retrieval
+from deskflow.queries import QUERIES
 
 
 def frame(spark, m, id_name, vec_name):
@@ -71,6 +72,32 @@ def test_nothing_passes_through_the_driver(spark, data, monkeypatch):
     assert found.count() == 2 * len(q)
 
 
+def test_cells(spark, data):
+    """All cells probed: exact, also with hot cells split on both sides.  A few: what is found is scored exactly."""
+    q, m = data
+    queries, index = frame(spark, q, "query_id", "q_vector"), frame(spark, m, "id", "i_vector")
+    exact = brute_force(q, m, 5)
+    for block_bytes in (1 << 20, 1500):
+        assert rows(retrieval.topk_cells(queries, index, 5, cells=6, probes=6, block_bytes=block_bytes)) == exact
+    near = rows(retrieval.topk_cells(queries.filter("query_id < 12"), index, 5, cells=24, probes=3, sample=100))
+    right = {(a, c, d) for a, _, c, d in exact if a < 12}
+    assert len({(a, c, d) for a, _, c, d in near} & right) >= 0.9 * len(right)
+    similar = {(a, c): d for a, _, c, d in brute_force(q, m, len(m))}
+    assert all(abs(similar[a, c] - d) < 1e-9 for a, _, c, d in near)
+    assert retrieval.topk_cells(queries, index.filter("false"), 5).count() == 0
+
+
+def test_recall_on_the_given_vectors(spark):
+    """At least 0.9 of the true neighbours of every fiftieth vector, with the settings of the query."""
+    sf = "/root/testdata/sf0.1"
+    got = {(r["query_id"], r["id"]) for r in QUERIES["topk_retrieve_lsh"](spark, sf).collect()}
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    exact = retrieval.topk_retrieve(e.filter("vec_id % 50 = 0"), e, query_id="vec_id", index_id="vec_id")
+    want = {(r["query_id"], r["id"]) for r in exact.collect()}
+    print("recall", len(got & want) / len(want), len(want))
+    assert len(want) > 100 and len(got & want) >= 0.9 * len(want)
+
+
 def test_rows_of_one_vector(spark):
     """Two thirds of the index and of the queries have one id and vector."""
     same = spark.range(600).selectExpr("if(id < 400, 7, id) AS id", "if(id < 400, array(1f, 0f), array(1f, float(id))) AS i_vector")
