@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from deskflow.functions.columns import compute_once
 from deskflow.llm import bpe, decontaminate, language, repeats, simhash
 from deskflow.llm.common import table
-from deskflow.sources.stage import new_path
+from deskflow.sources.stage import new_path, scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the whole documents table, one after another."""
+    """The stages over the whole documents table, one after another; what a stage writes for itself goes when it is done."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
