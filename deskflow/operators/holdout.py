@@ -4,7 +4,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from deskflow.functions.columns import compute_once
 from deskflow.functions.text import text_key
+from deskflow.operators.seen import Seen
+from deskflow.sources.stage import stage
 
 
 def used_keys(*frames: DataFrame, column: str = "tweet") -> DataFrame:
@@ -30,13 +33,40 @@ def without_used(pool: DataFrame, used: DataFrame, column: str = "tweet") -> Dat
     return pool.withColumn("_key", text_key(F.col(column))).join(keys, "_key", "left_anti").drop("_key")
 
 
-def split_overlap(splits: dict[str, DataFrame], column: str = "tweet") -> DataFrame:
-    """Number of distinct texts shared by each pair of splits, zero included."""
+def without_used_filtered(pool: DataFrame, used: DataFrame, column: str = "tweet", **size: int) -> DataFrame:
+    """The rows of ``without_used``, for a pool and a ``used`` that are both beyond any broadcast.
+
+    The pool is tested where it is read against a Bloom filter of the digests of ``used`` (``size``: parameters of
+    ``Seen``).  Rows that cannot match go on without a shuffle; only those that may match are shuffled to be verified.
+    The pool is read twice, once for each, so columns that are dear to compute belong in a stage before it.
+    """
+    keys = used if used.columns == ["_key"] else used.select(text_key(F.col(column)).alias("_key"))
+    keys = stage(keys.filter("_key IS NOT NULL"), "used")
+    seen = Seen(keys, **size)
+    # One digest a row serves the test and the join.
+    tested = compute_once(pool, _key=text_key(F.col(column)))
+    may = seen.may_hold(F.col("_key"))
+    verified = tested.filter(may).join(keys, "_key", "left_anti")
+    return tested.filter(~may).unionByName(verified).drop("_key")
+
+
+def split_overlap(splits: dict[str, DataFrame], column: str = "tweet", large: str | None = None, **size: int) -> DataFrame:
+    """Number of distinct texts shared by each pair of splits, zero included.
+
+    The split named ``large`` is tested where it is read against a Bloom filter of all others (``size``: parameters of
+    ``Seen``), and only texts that may be in one of them are shuffled.
+    """
     names = list(splits)
-    tagged = reduce(DataFrame.unionByName, [
-        f.filter(F.col(column).isNotNull()).select(text_key(F.col(column)).alias("_key"), F.lit(n).alias("split"))
-        for n, f in splits.items()
-    ])
+    keyed = {n: f.filter(F.col(column).isNotNull()).select(text_key(F.col(column)).alias("_key"))
+             for n, f in splits.items()}
+    if large is not None:
+        others = stage(reduce(DataFrame.unionByName, [
+            f.withColumn("split", F.lit(n)) for n, f in keyed.items() if n != large]), "used")
+        seen = Seen(others.select("_key"), **size)
+        tested = compute_once(splits[large].select(column), _key=text_key(F.col(column))).select("_key")
+        tagged = others.unionByName(tested.filter(seen.may_hold(F.col("_key"))).withColumn("split", F.lit(large)))
+    else:
+        tagged = reduce(DataFrame.unionByName, [f.withColumn("split", F.lit(n)) for n, f in keyed.items()])
     flags = tagged.groupBy("_key").agg(*[F.max((F.col("split") == n).cast("int")).alias(n) for n in names])
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
     totals = flags.agg(*[

@@ -312,6 +312,7 @@ ORACLE: dict[str, str] = {
     "thread_pairs": f"WITH {_REPLIES} SELECT p.tweet_id, p.text, r.gold_reply FROM posts p JOIN replies r ON p.tweet_id = r.in_response_to_tweet_id WHERE {_flag('p.inbound')}",
     "turn_pairs": "SELECT conv_id, turn, text AS tweet, reply AS gold_reply FROM (SELECT *, lead(text) OVER w AS reply, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST)) t WHERE role = 'user' AND next_role = 'assistant'",
     "holdout_anti": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = d.text) AND NOT EXISTS (SELECT 1 FROM documents u JOIN labels l ON u.doc_id = l.doc_id WHERE l.quality = 0 AND u.text = d.text)",
+    "holdout_anti_filtered": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = d.text) AND NOT EXISTS (SELECT 1 FROM documents u JOIN labels l ON u.doc_id = l.doc_id WHERE l.quality = 0 AND u.text = d.text)",
     "topup_anti": f"WITH {_CUSTOMERS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY intent ORDER BY {_key('tweet_id')}, tweet_id) AS rn FROM customers WHERE intent IS NOT NULL) SELECT tweet_id, intent FROM ranked WHERE rn > 23",
     "topk_retrieve": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "topk_retrieve_large": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",

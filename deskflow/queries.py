@@ -238,13 +238,24 @@ def turn_pairs(spark, sf):
     return threads.turn_pairs(derived.table(spark, sf, "conversations"))
 
 
+def poor_or_benchmark(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All documents, and the frame of texts that are not to be used again."""
+    docs = derived.table(spark, sf, "documents").select("doc_id", "text")
+    poor = docs.join(derived.table(spark, sf, "labels").filter("quality = 0"), "doc_id")
+    return docs, derived.table(spark, sf, "benchmark").select("text").unionByName(poor.select("text"))
+
+
 @query
 def holdout_anti(spark, sf):
-    docs = derived.table(spark, sf, "documents").select("doc_id", "text")
-    used = holdout.used_texts(
-        derived.table(spark, sf, "benchmark"),
-        docs.join(derived.table(spark, sf, "labels").filter("quality = 0"), "doc_id"), column="text")
-    return holdout.without_used(docs, used, "text").select("doc_id")
+    docs, used = poor_or_benchmark(spark, sf)
+    return holdout.without_used(docs, holdout.used_texts(used, column="text"), "text").select("doc_id")
+
+
+@query
+def holdout_anti_filtered(spark, sf):
+    """The plan for sets beyond a broadcast: a filter of the used texts where the pool is read."""
+    docs, used = poor_or_benchmark(spark, sf)
+    return holdout.without_used_filtered(docs, holdout.used_keys(used, column="text"), "text").select("doc_id")
 
 
 @query
@@ -398,7 +409,7 @@ def split_overlap(spark, sf):
     return holdout.split_overlap({
         "documents": docs, "good": labelled.filter("quality = 1"), "poor": labelled.filter("quality = 0"),
         "benchmark": derived.table(spark, sf, "benchmark"),
-    }, "text")
+    }, "text", large="documents")
 
 
 def document(spark: SparkSession, sf: str) -> DataFrame:

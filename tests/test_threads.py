@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from deskflow.operators.holdout import split_overlap, used_texts, without_used
+from deskflow.operators.holdout import split_overlap, used_keys, used_texts, without_used, without_used_filtered
+from deskflow.operators.seen import Seen
 from deskflow.operators.sampling import cap_splits, first_per_class, random_rows, stratified_split, topped_up_sample
 from deskflow.operators.threads import build_threads, dedupe_text, first_replies, keep_first, thread_levels, thread_pairs, threads_at, turn_pairs
 from deskflow.schemas import POSTS
@@ -86,6 +87,36 @@ def test_holdout(spark):
     assert [tuple(r) for r in got] == [("x", "y", 1), ("x", "z", 1), ("y", "z", 0)]
 
 
+def test_filter_of_used_texts(spark):
+    pool = spark.range(6000).select("id", F.when(F.col("id") % 50 > 0, F.concat(F.lit("t"), F.col("id") % 4000)).alias("tweet"))
+    used = spark.range(300).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("t"), F.col("id") * 17)).alias("tweet"))
+    want = sorted(r["id"] for r in without_used(pool, used).collect())
+    # Usual size, several arrays, and a filter far too small, which finds everything.
+    for size in ({}, {"part_words": 16}, {"part_words": 1, "max_parts": 2}):
+        got = without_used_filtered(pool, used_keys(used), **size)
+        assert sorted(r["id"] for r in got.collect()) == want
+        assert got.columns == pool.columns
+    nothing = without_used_filtered(pool, used.limit(0))
+    assert nothing.count() == 6000
+    assert without_used_filtered(pool.limit(0), used).count() == 0
+    names = {"x": pool, "y": used, "z": pool.filter("id < 40")}
+    pairs = sorted(map(tuple, split_overlap(names).collect()))
+    for large in names:
+        assert sorted(map(tuple, split_overlap(names, large=large, part_words=16).collect())) == pairs
+
+
+def test_clean_rows_of_the_pool_are_not_shuffled(spark, tmp_path):
+    spark.range(20000).select(F.col("id").cast("string").alias("tweet")).write.parquet(str(tmp_path / "pool"))
+    pool = spark.read.parquet(str(tmp_path / "pool"))
+    used = spark.range(19000, 25000).select(F.col("id").cast("string").alias("tweet"))
+    seen = Seen(used)
+    found = pool.filter(seen.may_hold(F.col("tweet"))).count()
+    assert 1000 <= found < 1000 + 19000 * 0.02
+    plan = without_used_filtered(pool, used)._jdf.queryExecution().sparkPlan().toString()
+    clean, verified = plan.split("\n:- ", 1)[1].split("\n+- ", 1)
+    assert "Join" not in clean and "Join" in verified
+
+
 def classes(spark, n=20000):
     # Class a holds a third, b half of the rest.
     kind = F.expr("CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 3 = 1 THEN 'b' ELSE concat('c', id % 4) END")
