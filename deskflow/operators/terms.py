@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow.functions.columns import compute_once
 from deskflow.functions.text import tokens
+from deskflow.sources.stage import stage
 
 
 def terms(c: Column, pairs: bool = True) -> Column:
@@ -16,16 +17,74 @@ def terms(c: Column, pairs: bool = True) -> Column:
     return F.concat(found, bigrams)
 
 
-def term_stats(df: DataFrame, text: str, top: int = 5000) -> DataFrame:
-    """Corpus and document frequency of the ``top`` most frequent terms.
+def occurrences(df: DataFrame, text: str) -> DataFrame:
+    """Every occurrence of a term, and whether it is the first of its term in the text.
 
-    The terms of a text are sorted, so an occurrence that differs from the one before it is the first of its
-    term in the text.  One shuffle of map-side counts gives both frequencies.
+    The terms of a text are sorted, so an occurrence that differs from the one before it is the first.
     """
     found = compute_once(df.select(text), _terms=F.sort_array(terms(F.col(text))))
     beside = F.arrays_zip(F.col("_terms").alias("term"), F.concat(F.array(F.lit(None)), "_terms").alias("before"))
     # The second list is one longer: its last pair has no term.
     pairs = found.select(F.inline(beside).alias("term", "before")).filter(F.col("term").isNotNull())
     is_first = F.col("before").isNull() | (F.col("before") != F.col("term"))
-    counted = pairs.groupBy("term").agg(F.count("*").alias("tf"), F.sum(is_first.cast("int")).alias("df"))
+    return pairs.select("term", is_first.cast("int").alias("is_first"))
+
+
+def _frequencies() -> list[Column]:
+    return [F.count("*").alias("tf"), F.sum("is_first").alias("df")]
+
+
+def term_stats(df: DataFrame, text: str, top: int = 5000) -> DataFrame:
+    """Corpus and document frequency of the ``top`` most frequent terms.
+
+    One shuffle of map-side counts gives both frequencies.
+    """
+    counted = occurrences(df, text).groupBy("term").agg(*_frequencies())
     return counted.orderBy(F.desc("tf"), "term").limit(top)
+
+
+def likely_terms(rows: DataFrame, count: int, tracked: int, longest: int) -> DataFrame:
+    """About the ``count`` most frequent terms of at most ``longest`` characters, by summaries of ``tracked`` counters.
+
+    The summaries of tasks are merged in 64 groups, then those of the groups.
+    """
+    short = rows.filter(F.length("term") <= longest).select("term", (F.spark_partition_id() % 64).alias("_group"))
+    # A text has no empty term; this one is there so that an empty table has a summary as well.
+    short = short.unionByName(rows.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).alias("_group")))
+    merged = short.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("_summary")).agg(
+        F.expr(f"approx_top_k_combine(_summary, {tracked})").alias("_summary"))
+    found = merged.select(F.inline(F.expr(f"approx_top_k_estimate(_summary, {count})")))
+    return found.select(F.col("item").alias("term")).filter("term <> ''")
+
+
+def term_stats_large(df: DataFrame, text: str, top: int = 5000, buckets: int = 1 << 20, longest: int = 1000) -> DataFrame:
+    """The rows of ``term_stats``, without a shuffle of every distinct term.
+
+    1. Mergeable summaries name ``2 * top`` terms that are likely frequent.
+    2. These terms are counted exactly, and all others together by ``buckets`` hash buckets.  What crosses the shuffle is at
+       most ``2 * top + buckets`` short rows a task.  The ``top``-th count of the named terms is a bound: a bucket whose
+       total is below it holds no term of the result.
+    3. Only terms of the buckets that reach the bound are counted one by one.  When none does, this pass reads nothing.
+
+    So the result is exact whatever the summaries say; they only decide how much is left for the third pass.  In
+    texts whose terms are all about as rare, that is most of them.  A null text has no term.
+    """
+    rows = occurrences(df, text)
+    # At most 2 * top terms of at most ``longest`` characters are broadcast.
+    named = stage(likely_terms(rows, 2 * top, 8 * top, longest), "named")
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
+    marked = rows.join(F.broadcast(named.withColumn("_named", F.lit(True))), "term", "left")
+    counted = marked.groupBy(
+        F.when(F.col("_named"), F.col("term")).alias("term"), F.when(F.col("_named").isNull(), bucket).alias("_bucket")
+    ).agg(*_frequencies())
+    counted = stage(counted, "counted")
+    known = counted.filter("term IS NOT NULL").select("term", "tf", "df")
+    best = known.orderBy(F.desc("tf"), "term").limit(top).agg(F.count("*").alias("n"), F.min("tf").alias("least")).first()
+    bound = best["least"] if best["n"] == top else 0
+    # At most ``buckets`` numbers are broadcast.
+    unsettled = counted.filter((F.col("term").isNull()) & (F.col("tf") >= bound)).select("_bucket")
+    rest = (
+        rows.withColumn("_bucket", bucket).join(F.broadcast(unsettled), "_bucket", "left_semi")
+        .join(F.broadcast(named), "term", "left_anti").groupBy("term").agg(*_frequencies())
+    )
+    return known.unionByName(rest).orderBy(F.desc("tf"), "term").limit(top)

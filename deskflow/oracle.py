@@ -336,6 +336,9 @@ UNION ALL SELECT 'weighted avg', round(sum("precision" * support) / sum(support)
     "class_weights": f"WITH {_CUSTOMERS}, c AS (SELECT intent, count(*) AS n FROM customers WHERE intent IS NOT NULL GROUP BY intent) SELECT intent, n, round(CAST((SELECT sum(n) FROM c) AS DOUBLE) / ((SELECT count(*) FROM c) * n), 9) AS weight FROM c",
     "term_stats": f"""WITH t AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
 grams AS (SELECT doc_id, unnest(w) AS term FROM t UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM t)
+SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM grams GROUP BY term ORDER BY tf DESC, term LIMIT 5000""",
+    "term_stats_large": f"""WITH t AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+grams AS (SELECT doc_id, unnest(w) AS term FROM t UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM t)
 SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM grams GROUP BY term ORDER BY tf DESC, term LIMIT 5000""",
     "compare_models": f"WITH {_MODELS}, {_comparison('long_rows')}",
     "human_mean": f"WITH {_HUMAN} SELECT doc_id, human_average_score FROM human",

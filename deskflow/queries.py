@@ -384,6 +384,12 @@ def term_stats(spark, sf):
     return terms.term_stats(tables.spread(derived.table(spark, sf, "documents")), "text")
 
 
+@query
+def term_stats_large(spark, sf):
+    """The plan for any number of distinct terms."""
+    return terms.term_stats_large(tables.spread(derived.table(spark, sf, "documents")), "text")
+
+
 @query
 def compare_models(spark, sf):
     rows = judged(spark, sf)

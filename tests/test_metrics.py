@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from deskflow.operators import metrics
 from deskflow.operators.models import class_weights
-from deskflow.operators.terms import term_stats
+from deskflow.operators.terms import term_stats, term_stats_large
 from deskflow.plans.evaluate import evaluate_predictions
 
 
@@ -78,3 +78,27 @@ def test_term_stats(spark):
     df = spark.createDataFrame([("The cat the CAT a",), ("cat",), ("",)], "text string")
     got = {r["term"]: (r["tf"], r["df"]) for r in term_stats(df, "text").collect()}
     assert got == {"cat": (3, 2), "the": (2, 1), "the cat": (2, 1), "cat the": (1, 1)}
+
+
+def test_term_stats_without_a_shuffle_of_all_terms(spark):
+    # Twenty frequent words, ties among them, a tail that is all different, a very long word, nulls and empty texts.
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 89 == 0, "").otherwise(F.concat_ws(
+            " ", F.concat(F.lit("hot"), F.col("id") % 20), F.lit("all all"), F.concat(F.lit("tail"), F.col("id")),
+            F.when(F.col("id") % 9 == 0, F.repeat(F.lit("x"), 3000)))).alias("text"))
+    for top in (3, 25, 60, 20000):
+        want = sorted(map(tuple, term_stats(df, "text", top).collect()))
+        for size in ({}, {"buckets": 3}, {"buckets": 256, "longest": 4}):
+            assert sorted(map(tuple, term_stats_large(df, "text", top, **size).collect())) == want
+    assert term_stats_large(df.limit(0), "text").count() == 0
+    assert "approx_top_k" not in term_stats_large(df, "text", 3)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rare_terms_are_not_read_again(spark):
+    """Buckets below the bound end the third pass before it reads a text."""
+    df = spark.range(20000).select(F.concat_ws(
+        " ", F.lit("all"), F.concat(F.lit("hot"), F.col("id") % 4), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    got = term_stats_large(df, "text", 5, buckets=1 << 16)
+    assert [r["tf"] for r in got.collect()] == [20000, 5000, 5000, 5000, 5000]
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Generate" not in final
