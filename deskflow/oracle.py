@@ -310,6 +310,7 @@ ORACLE: dict[str, str] = {
     "escalated_flag": f"WITH {_JUDGED} SELECT event_id, CASE WHEN route = 'ESCALATE' THEN 1 ELSE 0 END AS escalated FROM judged",
     # joins
     "thread_pairs": f"WITH {_REPLIES} SELECT p.tweet_id, p.text, r.gold_reply FROM posts p JOIN replies r ON p.tweet_id = r.in_response_to_tweet_id WHERE {_flag('p.inbound')}",
+    "thread_pairs_arriving": f"WITH {_REPLIES} SELECT p.tweet_id, p.text, r.gold_reply FROM posts p JOIN replies r ON p.tweet_id = r.in_response_to_tweet_id WHERE {_flag('p.inbound')}",
     "turn_pairs": "SELECT conv_id, turn, text AS tweet, reply AS gold_reply FROM (SELECT *, lead(text) OVER w AS reply, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST)) t WHERE role = 'user' AND next_role = 'assistant'",
     "holdout_anti": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = d.text) AND NOT EXISTS (SELECT 1 FROM documents u JOIN labels l ON u.doc_id = l.doc_id WHERE l.quality = 0 AND u.text = d.text)",
     "holdout_anti_filtered": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = d.text) AND NOT EXISTS (SELECT 1 FROM documents u JOIN labels l ON u.doc_id = l.doc_id WHERE l.quality = 0 AND u.text = d.text)",
@@ -349,6 +350,7 @@ names AS (SELECT DISTINCT i, split FROM s)
 SELECT a.split AS split_a, b.split AS split_b, (SELECT count(*) FROM s x JOIN s y ON x.text = y.text WHERE x.i = a.i AND y.i = b.i) AS shared FROM names a JOIN names b ON a.i < b.i""",
     "metrics_document": f"WITH {_DOCUMENT}",
     "score_distribution": f"WITH {_CUSTOMERS}, routed AS (SELECT coalesce(intent, 'none') AS intent, {_decision('tweet', 'intent', 'confidence')} AS decision FROM customers) SELECT intent, decision, count(*) AS n FROM routed GROUP BY intent, decision",
+    "score_distribution_arriving": f"WITH {_CUSTOMERS}, routed AS (SELECT coalesce(intent, 'none') AS intent, {_decision('tweet', 'intent', 'confidence')} AS decision FROM customers) SELECT intent, decision, count(*) AS n FROM routed GROUP BY intent, decision",
     # de-duplication, samples, top-k
     "dedupe_reply_target": f"WITH {_REPLIES} SELECT in_response_to_tweet_id, gold_reply FROM replies",
     "dedupe_text": "SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) d WHERE rn = 1",

@@ -12,6 +12,7 @@ from deskflow.plans import datasets, evaluate, predict, run_all
 from deskflow.sources import derived, sinks, stage, tables
 from deskflow.sources.derived import BRAND
 from deskflow.streaming.routing import route_messages, route_stream
+from deskflow.streaming.threads import count_stream, latest_counts, thread_pairs_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -927,5 +928,47 @@ def route_stream_messages(spark, sf):
     return spark.read.parquet(target).select("tweet_id", "intent", "decision", "reason")
 
 
+def arrivals(rows: DataFrame, parts: int = 4) -> tuple[list[DataFrame], int, int]:
+    """Posts by time in several parts, a fifth of them one part late; the length of a part and the last time, in seconds."""
+    rows = rows.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    seconds = F.unix_timestamp("created_at")
+    ends = rows.agg(F.min(seconds).alias("first"), F.max(seconds).alias("last")).first()
+    first, last = (ends["first"] or 0, ends["last"] or 0)
+    length = (last - first) // parts + 1
+    late = F.when(F.crc32(F.col("tweet_id").cast("binary")) % 5 == 0, 1).otherwise(0)
+    marked = rows.withColumn("_part", F.floor((seconds - first) / length) + late)
+    return [marked.filter(F.col("_part") == i).drop("_part") for i in range(parts + 1)], length, last
+
+
+@query
+def thread_pairs_arriving(spark, sf):
+    """The posts in several parts and out of order; the stream is started again for each, then read back."""
+    rows = stage.stage(posts(spark, sf), "posts")
+    parts, length, last = arrivals(rows)
+    source, target, state = (stage.new_path(spark, n) for n in ("arriving", "pairs", "stream-state"))
+    # A later post of nobody lets the clock run on.
+    after = spark.range(1).select(*[
+        F.timestamp_seconds(F.lit(last + 4 * length + 7200)).alias(f.name) if f.name == "created_at"
+        else F.lit(None).cast(f.dataType).alias(f.name) for f in parts[0].schema])
+    for part in [*parts, after]:
+        part.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(part.schema).parquet(source)
+        thread_pairs_stream(arriving, target, state, brand=BRAND, delay=f"{2 * length + 120} seconds",
+                            keep="3650 days").awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query
+def score_distribution_arriving(spark, sf):
+    """Running counts of the posts, that arrive in several parts."""
+    rows = stage.stage(customers(spark, sf).join(posts(spark, sf).select("tweet_id", "created_at"), "tweet_id"), "posts")
+    source, target, state = (stage.new_path(spark, n) for n in ("arriving", "counts", "stream-state"))
+    for part in arrivals(rows.select("tweet_id", "text", "confidence", "created_at"), 2)[0]:
+        part.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(part.schema).parquet(source)
+        count_stream(arriving, target, state, confidence="confidence").awaitTermination()
+    return latest_counts(spark, target)
+
+
 QUERIES["run_all"] = QUERIES.pop("run_all_jobs")
 QUERIES["route_stream"] = QUERIES.pop("route_stream_messages")

@@ -49,6 +49,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows the prefix in the names of the folders of a folder."""
+    place, files = _file_system(spark, path)
+    names = [f.getPath().getName() for f in files.listStatus(place) if f.isDirectory()]
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     place, files = _file_system(spark, path)
     files.delete(place, True)
