@@ -318,6 +318,7 @@ ORACLE: dict[str, str] = {
     "topk_retrieve": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "topk_retrieve_large": f"WITH {_hits('embeddings', 'embeddings', 'vec_id', 'vec_id')} SELECT query_id, rank, id, similarity FROM hits",
     "attach_metadata": f"WITH {_INDEX}, {_hits('embeddings', 'idx', 'vec_id', 'id')} SELECT h.query_id, h.rank, h.id, h.similarity, i.tweet, i.apple_reply, i.intent FROM hits h JOIN idx i ON h.id = i.id",
+    "attach_metadata_buckets": f"WITH {_INDEX}, {_hits('embeddings', 'idx', 'vec_id', 'id')} SELECT h.query_id, h.rank, h.id, h.similarity, i.tweet, i.apple_reply, i.intent FROM hits h JOIN idx i ON h.id = i.id",
     "attach_truth": f"WITH {_THREADS} SELECT tweet_id, intent, CASE WHEN CAST(tweet_id AS BIGINT) % 3 = 0 THEN 'general_inquiry' ELSE intent END AS ground_truth_intent, 'AUTO' AS ground_truth_escalate, '' AS gold_reply FROM labelled",
     "label_decode": f"WITH {_CUSTOMERS} SELECT tweet_id, CAST(list_position({sorted(fixed.INTENTS)}, intent) - 1 AS DOUBLE) AS label_index, intent AS decoded FROM customers WHERE intent IS NOT NULL",
     # aggregations

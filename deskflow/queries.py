@@ -9,7 +9,7 @@ from deskflow.functions import judging, replies, routing, text as tx, vectors as
 from deskflow.functions.columns import compute_once
 from deskflow.operators import holdout, metrics, models, retrieval, rubric, sampling, terms, threads
 from deskflow.plans import datasets, evaluate, predict, run_all
-from deskflow.sources import derived, sinks, stage, tables
+from deskflow.sources import buckets, derived, sinks, stage, tables
 from deskflow.sources.derived import BRAND
 from deskflow.streaming.routing import route_messages, route_stream
 from deskflow.streaming.threads import count_stream, latest_counts, thread_pairs_stream
@@ -298,6 +298,15 @@ def attach_metadata(spark, sf):
     return retrieval.attach_metadata(hits, index)
 
 
+@query
+def attach_metadata_buckets(spark, sf):
+    """The texts come from a persisted table in buckets of ids, of which nothing is shuffled."""
+    index, path = derived.view(spark, sf, derived.INDEX), stage.new_path(spark, "vectors")
+    buckets.sink_vector_buckets(index, path, buckets=16)
+    hits = retrieval.topk_retrieve(derived.table(spark, sf, "embeddings"), index, query_id="vec_id")
+    return retrieval.attach_metadata(hits, buckets.scan_buckets(spark, path))
+
+
 @query
 def attach_truth(spark, sf):
     rows = rule_predictions(spark, sf)
