@@ -43,48 +43,29 @@ def term_stats(df: DataFrame, text: str, top: int = 5000) -> DataFrame:
     return counted.orderBy(F.desc("tf"), "term").limit(top)
 
 
-def likely_terms(rows: DataFrame, count: int, tracked: int, longest: int) -> DataFrame:
-    """About the ``count`` most frequent terms of at most ``longest`` characters, by summaries of ``tracked`` counters.
-
-    The summaries of tasks are merged in 64 groups, then those of the groups.
-    """
-    short = rows.filter(F.length("term") <= longest).select("term", (F.spark_partition_id() % 64).alias("_group"))
-    # A text has no empty term; this one is there so that an empty table has a summary as well.
-    short = short.unionByName(rows.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).alias("_group")))
-    merged = short.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("_summary")).agg(
-        F.expr(f"approx_top_k_combine(_summary, {tracked})").alias("_summary"))
-    found = merged.select(F.inline(F.expr(f"approx_top_k_estimate(_summary, {count})")))
-    return found.select(F.col("item").alias("term")).filter("term <> ''")
-
-
-def term_stats_large(df: DataFrame, text: str, top: int = 5000, buckets: int = 1 << 20, longest: int = 1000) -> DataFrame:
+def term_stats_large(df: DataFrame, text: str, top: int = 5000, buckets: int = 1 << 20) -> DataFrame:
     """The rows of ``term_stats``, without a shuffle of every distinct term.
 
-    1. Mergeable summaries name ``2 * top`` terms that are likely frequent.
-    2. These terms are counted exactly, and all others together by ``buckets`` hash buckets.  What crosses the shuffle is at
-       most ``2 * top + buckets`` short rows a task.  The ``top``-th count of the named terms is a bound: a bucket whose
-       total is below it holds no term of the result.
-    3. Only terms of the buckets that reach the bound are counted one by one.  When none does, this pass reads nothing.
+    1. All occurrences are counted by ``buckets`` hash buckets of their terms: numbers, at most ``buckets`` a task.
+    2. The terms of the ``2 * top`` fullest buckets are counted one by one.  The ``top``-th of these counts is a bound: a
+       bucket whose total is below it holds no term of the result.
+    3. Only the terms of other buckets that reach the bound are counted as well.  When there is none, no text is read.
 
-    So the result is exact whatever the summaries say; they only decide how much is left for the third pass.  In
+    So the result is exact; what the shuffles carry depends on the buckets, and on how many reach the bound.  In
     texts whose terms are all about as rare, that is most of them.  A null text has no term.
     """
-    rows = occurrences(df, text)
-    # At most 2 * top terms of at most ``longest`` characters are broadcast.
-    named = stage(likely_terms(rows, 2 * top, 8 * top, longest), "named")
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
-    marked = rows.join(F.broadcast(named.withColumn("_named", F.lit(True))), "term", "left")
-    counted = marked.groupBy(
-        F.when(F.col("_named"), F.col("term")).alias("term"), F.when(F.col("_named").isNull(), bucket).alias("_bucket")
-    ).agg(*_frequencies())
-    counted = stage(counted, "counted")
-    known = counted.filter("term IS NOT NULL").select("term", "tf", "df")
+    rows = occurrences(df, text).withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
+    totals = stage(rows.groupBy("_bucket").agg(F.count("*").alias("total")), "buckets")
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        # Numbers of buckets are broadcast, at most ``buckets``.
+        return rows.join(F.broadcast(chosen.select("_bucket")), "_bucket", "left_semi").groupBy("term").agg(*_frequencies())
+
+    # The order is total, so each reading chooses the same buckets.
+    fullest = totals.orderBy(F.desc("total"), "_bucket").limit(2 * top)
+    known = stage(counted(fullest), "counted")
     best = known.orderBy(F.desc("tf"), "term").limit(top).agg(F.count("*").alias("n"), F.min("tf").alias("least")).first()
+    # Every bucket has a term, so with fewer terms than ``top`` all buckets were among the fullest.
     bound = best["least"] if best["n"] == top else 0
-    # At most ``buckets`` numbers are broadcast.
-    unsettled = counted.filter((F.col("term").isNull()) & (F.col("tf") >= bound)).select("_bucket")
-    rest = (
-        rows.withColumn("_bucket", bucket).join(F.broadcast(unsettled), "_bucket", "left_semi")
-        .join(F.broadcast(named), "term", "left_anti").groupBy("term").agg(*_frequencies())
-    )
-    return known.unionByName(rest).orderBy(F.desc("tf"), "term").limit(top)
+    others = totals.filter(F.col("total") >= bound).join(F.broadcast(fullest.select("_bucket")), "_bucket", "left_anti")
+    return known.unionByName(counted(others)).orderBy(F.desc("tf"), "term").limit(top)
