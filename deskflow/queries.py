@@ -255,8 +255,12 @@ def holdout_anti(spark, sf):
 @query
 def holdout_anti_filtered(spark, sf):
     """The plan for sets beyond a broadcast: a filter of the used texts where the pool is read."""
-    docs, used = poor_or_benchmark(spark, sf)
-    return holdout.without_used_filtered(docs, holdout.used_keys(used, column="text"), "text").select("doc_id")
+    docs = derived.table(spark, sf, "documents").select("doc_id", "text")
+    # Labels are joined to digests, so no text is shuffled.
+    keyed = compute_once(docs.filter("text IS NOT NULL"), _key=tx.text_key(F.col("text"))).select("doc_id", "_key")
+    poor = keyed.join(derived.table(spark, sf, "labels").filter("quality = 0"), "doc_id").select("_key")
+    used = holdout.used_keys(derived.table(spark, sf, "benchmark"), column="text").unionByName(poor)
+    return holdout.without_used_filtered(docs, used, "text").select("doc_id")
 
 
 @query
