@@ -412,6 +412,7 @@ FROM idx i JOIN listed l ON i.id = l.query_id""",
     "compare_baselines": f"WITH {_MAJORITY}, c AS (WITH {_comparison('long_rows')}) SELECT m.model, CASE WHEN m.model = 'majority' THEN CAST(intent_accuracy AS DOUBLE) END AS majority_accuracy, CASE WHEN m.model = 'majority' THEN intent_macro_f1 END AS majority_f1, m.model <> 'majority' AS above_half FROM (VALUES ('majority'), ('tfidf_svm'), ('agent')) m(model), c",
     "run_all": f"WITH {_GOLDEN} SELECT count(*) AS eval_samples, true AS all_rows, true AS intents_agree, true AS routes_agree, (SELECT count(*) FROM labelled l WHERE NOT EXISTS (SELECT 1 FROM splits s WHERE s.split <> 'train' AND s.tweet = l.tweet) AND NOT EXISTS (SELECT 1 FROM golden g WHERE g.tweet = l.tweet)) AS n_index, (SELECT count(*) FROM splits WHERE split = 'validation') AS n_validation FROM golden",
     # composed jobs
+    "refresh_threads": f"WITH {_THREADS} SELECT tweet_id, tweet, gold_reply, intent FROM labelled",
     "build_threads": f"WITH {_THREADS} SELECT tweet_id, tweet, gold_reply FROM threads",
     "build_splits": f"WITH {_SPLITS} SELECT * FROM splits",
     "build_golden": f"WITH {_GOLDEN} SELECT {_EVAL_COLUMNS} FROM golden",

@@ -1,6 +1,6 @@
 """The whole run: data sets, model, index, evaluation."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,14 +9,15 @@ from deskflow import fixed
 from deskflow.plans.datasets import build_golden, build_review, build_splits, index_rows, split_of, thread_table
 from deskflow.plans.evaluate import evaluate_agent, training_report
 from deskflow.plans.predict import SupportAgent
+from deskflow.plans.refresh import refresh_threads
 from deskflow.sources.sinks import sink_metrics, sink_predictions, write
 from deskflow.sources.stage import exists, scratch, stage_skip
 from deskflow.sources.tables import import_csv, scan_metrics, scan_posts
 
 
-def _mark(posts: DataFrame) -> str:
+def _mark(rows: DataFrame) -> str:
     """Rows and the sum of their hashes, by which a changed input is known."""
-    n, total = posts.agg(F.count("*"), F.sum(F.xxhash64(*posts.columns).cast("decimal(38,0)"))).first()
+    n, total = rows.agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()
     return f"{n}:{total}"
 
 
@@ -31,13 +32,30 @@ def run_all(
     or the posts have changed; the model is only reused with the splits it was trained on.  ``human_scores`` (by
     ``tweet_id``) give a review set, and its agreement with the scores when ``judge``.
     """
-    spark = posts.sparkSession
+    return _run(posts, lambda: thread_table(posts, brand, rules), folder, overwrite, judge, human_scores)
+
+
+def run_all_parts(
+    spark: SparkSession, path: str, folder: str, brand: str = fixed.BRAND, overwrite: bool = False, judge: bool = False,
+    human_scores: DataFrame | None = None, rules: Sequence[tuple[str, str]] = fixed.INTENT_RULES,
+) -> DataFrame:
+    """``run_all`` over a folder of Parquet posts that grows: only parts that are new are read (``refresh_threads``).
+
+    What follows the thread table is built again when the thread table has changed, not when any post has come.
+    """
+    threads = refresh_threads(spark, path, f"{folder}/state", brand, rules)
+    return _run(threads, lambda: threads, folder, overwrite, judge, human_scores)
+
+
+def _run(source_rows: DataFrame, build: Callable[[], DataFrame], folder: str, overwrite: bool, judge: bool,
+         human_scores: DataFrame | None) -> DataFrame:
+    spark = source_rows.sparkSession
     with scratch(spark):
-        mark, source = _mark(posts), f"{folder}/source"
+        mark, source = _mark(source_rows), f"{folder}/source"
         known = exists(spark, source) and spark.read.text(source).first()[0] == mark
         overwrite = overwrite or not known
         reused = not overwrite and exists(spark, f"{folder}/splits")
-        threads = cache(lambda: thread_table(posts, brand, rules))
+        threads = cache(build)
         splits = stage_skip(spark, f"{folder}/splits", lambda: build_splits(threads()), overwrite)
         train, validation = split_of(splits, "train"), split_of(splits, "validation")
         golden = stage_skip(spark, f"{folder}/golden", lambda: build_golden(threads(), train, validation), not reused)

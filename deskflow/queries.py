@@ -8,7 +8,7 @@ from deskflow import fixed, schemas
 from deskflow.functions import judging, replies, routing, text as tx, vectors as vec
 from deskflow.functions.columns import compute_once
 from deskflow.operators import holdout, metrics, models, retrieval, rubric, sampling, terms, threads
-from deskflow.plans import datasets, evaluate, predict, run_all
+from deskflow.plans import datasets, evaluate, predict, refresh, run_all
 from deskflow.sources import buckets, derived, sinks, stage, tables
 from deskflow.sources.derived import BRAND
 from deskflow.streaming.routing import route_messages, route_stream
@@ -983,5 +983,16 @@ def score_distribution_arriving(spark, sf):
     return latest_counts(spark, target)
 
 
+@query
+def refresh_threads(spark, sf):
+    """The thread table after the posts have come in several parts and out of order, each merged by a run of its own."""
+    source, folder = stage.new_path(spark, "arriving"), stage.new_path(spark, "state")
+    found = None
+    for part in arrivals(stage.stage(posts(spark, sf), "posts"), 2)[0]:
+        part.write.mode("append").parquet(source)
+        found = refresh.refresh_threads(spark, source, folder, BRAND)
+    return threads.threads_at(found, fixed.MIN_CHARS).select("tweet_id", "tweet", "gold_reply", "intent")
+
+
 QUERIES["run_all"] = QUERIES.pop("run_all_jobs")
 QUERIES["route_stream"] = QUERIES.pop("route_stream_messages")

@@ -50,8 +50,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """What follows the prefix in the names of the folders of a folder."""
+    """What follows the prefix in the names of the folders of a folder; nothing when there is no such folder."""
     place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return []
     names = [f.getPath().getName() for f in files.listStatus(place) if f.isDirectory()]
     return [n[len(prefix):] for n in names if n.startswith(prefix)]
 
