@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -61,19 +62,60 @@ def bench(spark):
     return spark.createDataFrame(rows, "item_id long, text string").withColumn("id", F.lit("z"))
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 23, 40])
+def brute_longest(texts, items, window=10):
+    """Longest match of a text with an item that begins with a window of the item: words and first word."""
+    items = [words(t) for _, t in items]
+    out = {}
+    for doc, text in texts:
+        w, best = words(text), (0, None)
+        for i in range(len(w)):
+            for x in items:
+                for g in range(max(1, len(x) - window + 1) if x else 0):
+                    n = 0
+                    while i + n < len(w) and g + n < len(x) and w[i + n] == x[g + n]:
+                        n += 1
+                    if n >= min(window, len(x)) and n > best[0]:
+                        best = (n, i)
+        out.setdefault(doc, set()).add(best)
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 23, 120])
 def test_contamination_of_odd_rows(spark, odd, bench, block_bytes):
     more = spark.createDataFrame(
         [(100, "x One two THREE four five six seven eight nine ten eleven, and more short"), (101, "a short item here a"),
          (102, "two three four five six seven eight nine ten"), (103, "short\nitem short item")], "doc_id long, text string")
-    texts = odd.select("doc_id", "text").union(more)
+    texts = odd.select("doc_id", "text").union(more).where("length(text) < 10000 OR text IS NULL")
     got = decontaminate.contamination(texts, bench, block_bytes=block_bytes).collect()
-    want = brute_hits(rows_of(texts), [(r["item_id"], r["text"]) for r in bench.collect()])
+    items = [(r["item_id"], r["text"]) for r in bench.collect()]
     same([(r["id"], r["n_words"], sorted(i for s in r["spans"] for i in range(s["first"], s["first"] + s["words"])),
-           r["items"]) for r in got], [(d, n, sorted(h), i) for d, n, h, i in want])
-    longest = {r["id"]: (r["longest"], r["longest_at"]) for r in got}
-    if block_bytes > 40:
-        assert longest[100] == (11, 1) and longest[102] == (0, None) and longest[1] == (0, None)
+           r["items"]) for r in got], [(d, n, sorted(h), i) for d, n, h, i in brute_hits(rows_of(texts), items)])
+    want = brute_longest(rows_of(texts), items)
+    assert all((r["longest"], r["longest_at"]) in want[r["id"]] for r in got) and want[100] == {(12, 2)}
+    kept = decontaminate.without_contaminated(texts.withColumn("x", F.lit(1)), bench, block_bytes=block_bytes)
+    assert kept.columns == ["doc_id", "text", "x"]
+    same(rows_of(kept), [r for r, h in zip(rows_of(texts), brute_hits(rows_of(texts), items)) if not h[2]])
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 23, 400])
+def test_longest_match_over_all_items(spark, block_bytes):
+    """Items that share windows and run on differently, in few words; ties; an item twice and under two ids."""
+    dice = random.Random(5)
+
+    def some(n):
+        return " ".join(dice.choice("ab") for _ in range(n))
+
+    base = [some(40) for _ in range(3)]
+    items = [(i, " ".join(dice.choice(base).split()[dice.randint(0, 9):dice.randint(14, 40)])) for i in range(12)]
+    items += [(20, base[0]), (21, base[0]), (21, base[0]), (22, "a b"), (23, some(9))]
+    texts = [(i, f"{some(dice.randint(0, 12))} {dice.choice(base)[dice.randint(0, 9) * 2:]} {some(dice.randint(0, 30))}")
+             for i in range(20)] + [(50, ""), (51, None), (52, base[0]), (53, "unknown " + base[1] + " words here")]
+    found = decontaminate.contamination(
+        spark.createDataFrame(texts, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
+    want = brute_longest(texts, items)
+    assert {r["id"]: {(r["longest"], r["longest_at"])} for r in found} == want
+    assert max(n for x in want.values() for n, _ in x) >= 40
 
 
 def test_contamination_query(spark, docs):
