@@ -132,6 +132,44 @@ def test_contamination_empty(spark, odd, bench):
     assert {r["longest"] for r in decontaminate.contamination(odd, bench.limit(0)).collect()} == {0}
 
 
+def brute_notices(text, weight, least=0.8):
+    """Every beginning of every template, compared word by word."""
+    w, out = words(text), []
+    for label, key, t in licence.TEMPLATES:
+        t, key = words(t), words(key)
+        at = next(i for i in range(len(t)) if t[i:i + len(key)] == key)
+        total = sum(weight[x] for x in t)
+        for start in range(-len(t), len(w)):
+            same = [0 <= start + j < len(w) and w[start + j] == x for j, x in enumerate(t)]
+            share = sum(weight[x] for x, ok in zip(t, same) if ok) / total
+            if all(same[at:at + len(key)]) and share >= least:
+                out.append((label, start, len(t), round(share, 9)))
+    return out
+
+
+def test_notices_against_all_beginnings(spark):
+    """Whole notices with words changed, lost at the head or the end, doubled, and one inside another."""
+    dice = random.Random(3)
+    rows = [None, "", "the of to and", "copy " * 300]
+    for label, key, t in licence.TEMPLATES:
+        w = words(t)
+        rows += [t, " ".join(w[3:]), " ".join(w[:-2]), f"x {t} y {t}", " ".join(w + w[len(w) // 2:])]
+        for share in (0.05, 0.15, 0.3):
+            rows.append(" ".join(dice.choice([*w, "other"]) if dice.random() < share else x for x in w))
+    both = words(licence.TEMPLATES[-1][2]) + words(licence.TEMPLATES[0][2])
+    rows.append(" ".join(both))
+    texts = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = licence.licences(texts).collect()
+    seen = Counter(x for r in rows for x in set(words(r)))
+    weight = {x: max(math.log((len(rows) + 1) / (seen[x] + 0.5)) + 1e-9, 1e-9) for x in licence.vocabulary()}
+    found = 0
+    for r in got:
+        places = [(p["label"], p["first"], p["words"], round(p["share"], 9)) for p in r["places"] if not p["base"]]
+        same(places, brute_notices(rows[r["id"]], weight))
+        found += len(places)
+    assert found > len(rows) / 2
+
+
 def test_licences(spark, odd):
     more = spark.createDataFrame([(200, "mit mit license license mit license"), (201, "Licensed under CC BY-NC 4.0."),
                                   (202, "general public license " * 500), (203, "licensed under the apache licence version")],
