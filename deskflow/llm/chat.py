@@ -235,11 +235,49 @@ def read_back(segments: DataFrame) -> DataFrame:
                                      "formatted_chars long")
 
 
+def turns_of_records(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
+    """(conv, seq, at, role, text) of the turns of (conv, seq, record), ``at`` counting those of a record.
+
+    A record that no mapping knows, or that is no JSON object, is not dropped in silence: it ends the job with its
+    fingerprint.  ``layout_counts`` tells beforehand what there is.
+    """
+    known = records.select("conv", "seq", canonical(F.col("record"), layouts).alias("c"))
+    unknown = F.concat(F.lit("no mapping for records with fingerprint "), F.coalesce("c.fingerprint", F.lit("(none)")))
+    kind = "array<struct<role:string,text:string>>"
+    turns = F.coalesce("c.turns", F.raise_error(unknown).cast(kind))
+    return known.select("conv", "seq", F.posexplode(turns).alias("at", "t")).select("conv", "seq", "at", "t.role", "t.text")
+
+
+def layout_counts(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
+    """(fingerprint, layout, n) of the column ``record``; the layout is null where no mapping is known."""
+    return records.select(canonical(F.col("record"), layouts).alias("c")).groupBy(
+        "c.fingerprint", "c.layout").agg(F.count("*").alias("n"))
+
+
+def records_from_rows(rows: DataFrame, conv_col: str = "conv_id", seq_col: str = "turn", role_col: str = "role",
+                      text_col: str = "text") -> DataFrame:
+    """(conv, seq, record) of a table of one turn a row, in several layouts by conversation.
+
+    A third each: a flat turn, a list of messages, a list with the roles of shared conversations.  The last has names of its
+    own for two roles only; a turn of another role is a list of messages there too.
+    """
+    role, text = (F.col(f"`{c}`").cast("string") for c in (role_col, text_col))
+    conv = F.col(f"`{conv_col}`").cast("long")
+
+    def json_of(value):
+        return F.to_json(value, {"ignoreNullFields": "false"})
+
+    flat = json_of(F.struct(role.alias("role"), text.alias("text")))
+    messages = json_of(F.struct(F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages")))
+    speaker = F.when(role == "user", F.lit("human")).when(role == "assistant", F.lit("gpt"))
+    shared = json_of(F.struct(F.array(F.struct(speaker.alias("from"), text.alias("value"))).alias("conversations")))
+    kind = F.pmod(conv, F.lit(3))
+    record = F.when(kind == 1, messages).when((kind == 2) & speaker.isNotNull(), shared).when(kind == 2, messages).otherwise(flat)
+    return rows.select(conv.alias("conv"), F.col(f"`{seq_col}`").cast("long").alias("seq"), record.alias("record"))
+
+
 def turns_from_rows(rows: DataFrame, conv_col: str = "conv_id", seq_col: str = "turn", role_col: str = "role",
-                    text_col: str = "text", layouts=LAYOUTS) -> DataFrame:
-    """(conv, seq, role, text) from a table of one turn a row, by way of records and their fingerprints."""
-    record = F.to_json(F.struct(F.col(f"`{role_col}`").cast("string").alias("role"),
-                                F.col(f"`{text_col}`").cast("string").alias("text")), {"ignoreNullFields": "false"})
-    known = rows.select(F.col(f"`{conv_col}`").cast("long").alias("conv"), F.col(f"`{seq_col}`").cast("long").alias("seq"),
-                        canonical(record, layouts).alias("c"))
-    return known.select("conv", "seq", F.explode("c.turns").alias("t")).select("conv", "seq", "t.role", "t.text")
+                    text_col: str = "text") -> DataFrame:
+    """(conv, seq, role, text) from a table of one turn a row, by way of records and their fingerprints.  A table without rows
+    gives none."""
+    return turns_of_records(records_from_rows(rows, conv_col, seq_col, role_col, text_col)).drop("at")

@@ -214,3 +214,18 @@ def test_layouts(spark):
         assert r["c"]["layout"] == name and r["c"]["fingerprint"]
         assert (r["c"]["turns"] and [x.asDict() for x in r["c"]["turns"]]) == (turns or r["c"]["turns"])
     assert all(r["c"]["fingerprint"] is None for r in got[-3:])
+
+
+def test_rows_in_several_layouts(spark):
+    """Every layout is met, none changes a turn; a layout without a mapping is counted, and is an error when read."""
+    rows = [(c, t, role, text) for c in (None, -1, 0, 1, 2, 3) for t, (role, text) in enumerate(
+        [("user", "a\n</s>"), ("assistant", ""), ("human", "x"), (None, None), ("gpt", "[INST]"), ("system", "y"), ("user", "a")])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    records = chat.records_from_rows(df)
+    assert {r["layout"] for r in chat.layout_counts(records).collect()} == {"turn", "messages", "shared"}
+    got = [tuple(r) for r in chat.turns_from_rows(df).collect()]
+    assert sorted(got, key=repr) == sorted([(c, t, role or "", text or "") for c, t, role, text in rows], key=repr)
+    odd = records.unionByName(spark.createDataFrame([(9, 0, '{"new": [1]}'), (9, 1, "no"), (9, 2, None)], records.schema))
+    assert sum(r["n"] for r in chat.layout_counts(odd).collect() if r["layout"] is None) == 3
+    with pytest.raises(Exception, match="no mapping"):
+        chat.turns_of_records(odd).collect()
