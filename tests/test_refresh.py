@@ -126,7 +126,28 @@ def test_run_over_parts(spark):
     run_all_parts(spark, source, folder, "Support")
     splits = spark.read.parquet(f"{folder}/splits").inputFiles()
     # Posts nobody answered change no thread: nothing after it is built again.
-    data.filter("author_id <> 'Support'").limit(2).withColumns(
+    data.filter("author_id <> 'Support'").orderBy("tweet_id").limit(2).withColumns(
         {"tweet_id": F.concat(F.lit("new"), "tweet_id")}).write.mode("append").parquet(source)
     run_all_parts(spark, source, folder, "Support")
     assert spark.read.parquet(f"{folder}/splits").inputFiles() == splits
+    # Posts that were answered do, but what is kept stays; the index has the new threads.
+    again = data.filter("author_id <> 'Support' AND text LIKE '%charger%case%'").orderBy("tweet_id").limit(3)
+    new = again.withColumns({"tweet_id": F.concat(F.lit("more"), "tweet_id"), "text": F.concat("text", F.lit(" once more"))})
+    answers = new.select(*[F.lit("Support").alias(c) if c == "author_id" else F.lit("False").alias(c) if c == "inbound"
+                           else F.col("tweet_id").alias(c) if c == "in_response_to_tweet_id"
+                           else F.concat(F.lit("r"), "tweet_id").alias(c) if c == "tweet_id"
+                           else F.lit("Please check Settings, it helps").alias(c) if c == "text" else F.col(c)
+                           for c in data.columns])
+    golden, index = spark.read.parquet(f"{folder}/golden").inputFiles(), spark.read.parquet(f"{folder}/model/index").count()
+    new.unionByName(answers).write.mode("append").parquet(source)
+    run_all_parts(spark, source, folder, "Support", keep=["golden", "splits"])
+    assert spark.read.parquet(f"{folder}/splits").inputFiles() == splits
+    assert spark.read.parquet(f"{folder}/golden").inputFiles() == golden
+    assert spark.read.parquet(f"{folder}/model/index").count() > index
+    # New splits avoid the golden set that stays.
+    run_all_parts(spark, source, folder, "Support", keep=["golden"], rules=[("any", "case|settings")])
+    assert spark.read.parquet(f"{folder}/golden").inputFiles() == golden
+    assert spark.read.parquet(f"{folder}/splits").inputFiles() != splits
+    assert spark.read.parquet(f"{folder}/splits").join(spark.read.parquet(f"{folder}/golden"), "tweet").count() == 0
+    with pytest.raises(ValueError):
+        run_all_parts(spark, source, folder, "Support", keep=["model"])
