@@ -63,6 +63,22 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def publish(spark: SparkSession, source: str, target: str, name: str) -> None:
+    """Move the files of a table into the folder of another one, in place of those that came under this name before."""
+    folder, files = _file_system(spark, source)
+    goal = _file_system(spark, target)[0]
+    if files.exists(goal):
+        for old in files.listStatus(goal):
+            if old.getPath().getName().startswith(f"{name}-"):
+                files.delete(old.getPath(), False)
+    files.mkdirs(goal)
+    parts = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    for part in parts:
+        if not files.rename(part, _file_system(spark, f"{target}/{name}-{part.getName()}")[0]):
+            raise OSError(f"{part.toString()} was not moved to {target}.")
+    files.delete(folder, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Stages made inside go to a folder of their own, which is removed at the end: nothing read later may need them."""

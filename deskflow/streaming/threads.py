@@ -1,119 +1,121 @@
 """Question / reply pairs and running counts from arriving posts, with state."""
 
-from collections.abc import Callable, Iterator
-
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from deskflow import fixed
 from deskflow.functions.text import parse_flag
 from deskflow.sources import stage
 from deskflow.streaming.routing import route_messages
 
-ASKED, REPLY, CLOCK = 0, 1, 2
-PART = "post string, kind int, at timestamp, created_at timestamp, id string, text string"
-STATE = "asked_at long, asked string, reply_at long, reply_us long, reply_id string, reply string, done boolean"
-PAIR = "tweet_id string, text string, gold_reply string"
-
+ASKED = "struct<at: bigint, new: int, created_at: timestamp, text: string>"
+REPLY = "struct<created_at: timestamp, id: string, new: int, text: string>"
+STATE = f"post string, asked {ASKED}, reply {REPLY}, done boolean, settled boolean, kept boolean"
 
-def earliest(rows: pd.DataFrame) -> pd.DataFrame:
-    """The first row of each post, kind and slice of time."""
-    order = ["post", "kind", "at", "created_at", "id", "text"]
-    return rows.sort_values(order, na_position="first").drop_duplicates(order[:3])
 
+def slice_of(time: Column, slice_seconds: int) -> Column:
+    """Start of the slice of a time, in milliseconds."""
+    return F.floor(F.unix_seconds(time) / slice_seconds) * (slice_seconds * 1000)
 
-def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        yield earliest(rows)
 
+def arrived(posts: DataFrame, brand: str, slice_seconds: int) -> DataFrame:
+    """What each post with a time is: a question under its own id, a reply under the id it answers, both, or neither.
 
-def parts(posts: DataFrame, brand: str, slice_seconds: int) -> DataFrame:
-    """What each post is: a question under its own id, a reply under the id it answers, and a tick of the clock."""
-    at = F.timestamp_seconds(F.floor(F.unix_timestamp("created_at") / slice_seconds) * slice_seconds)
+    The fields of a question and a reply are in the order in which the first of several is found; what is in the state
+    goes before what is new, where that is equal.
+    """
+    time, target = F.col("created_at"), F.col("in_response_to_tweet_id")
+    new, nobody = F.lit(1).alias("new"), F.lit(None)
+    asked = F.struct(slice_of(time, slice_seconds).alias("at"), new, time.alias("created_at"), F.col("text").alias("text"))
+    reply = F.struct(time.alias("created_at"), F.coalesce(F.col("tweet_id").cast("string"), F.lit("")).alias("id"), new,
+                     F.col("text").alias("text"))
 
-    def part(post, kind, text):
-        return F.struct(post.cast("string").alias("post"), F.lit(kind).alias("kind"), at.alias("at"),
-                        F.col("created_at"), F.col("tweet_id").cast("string").alias("id"), text.alias("text"))
+    def part(post, question, answer):
+        return F.struct(post.cast("string").alias("post"), question.cast(ASKED).alias("asked"), answer.cast(REPLY).alias("reply"))
 
-    nothing = F.lit(None).cast("string")
-    target = F.col("in_response_to_tweet_id")
     kinds = F.array(
-        F.when(parse_flag(F.col("inbound")) & F.col("tweet_id").isNotNull(), part(F.col("tweet_id"), ASKED, F.col("text"))),
-        F.when((F.col("author_id") == brand) & target.isNotNull(), part(target, REPLY, F.col("text"))),
-        part(F.lit(""), CLOCK, nothing),
+        F.when(parse_flag(F.col("inbound")) & F.col("tweet_id").isNotNull(), part(F.col("tweet_id"), asked, nobody)),
+        F.when((F.col("author_id") == brand) & target.isNotNull(), part(target, nobody, reply)),
     )
-    timed = posts.withColumn("created_at", F.col("created_at").cast("timestamp")).filter("created_at IS NOT NULL")
-    return timed.select(F.inline(F.filter(kinds, lambda k: k.isNotNull())))
-
-
-def settle(keep_ms: int) -> Callable:
-    """Function of the state of one post: its question and its earliest reply so far, or a mark that it is done."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = max(state.getCurrentWatermarkMs(), 0)
-        asked_at, asked, reply_at, reply_us, reply_id, reply, done = state.get if state.exists else (None,) * 6 + (False,)
-        if state.hasTimedOut and (done or asked_at is None or reply_at is None):
-            state.remove()
-            return
-        for rows in batches:
-            for row in earliest(rows[rows["kind"] != CLOCK]).itertuples(index=False):
-                at = row.at.value // 1_000_000 if row.at.unit == "ns" else int(row.at.timestamp() * 1000)
-                if row.kind == ASKED:
-                    if asked_at is None or at < asked_at:
-                        asked_at, asked = at, row.text
-                    continue
-                us = row.created_at.value // 1000
-                if reply_at is None or (us, row.id or "") < (reply_us, reply_id or ""):
-                    reply_at, reply_us, reply_id, reply = at, us, row.id, row.text
-        if asked_at is None and reply_at is None:
-            return
-        both = asked_at is not None and reply_at is not None
-        if both and not done and (state.hasTimedOut or reply_at <= now):
-            # Whatever is not past the watermark is later than this reply.
-            done = True
-            if reply is not None:
-                yield pd.DataFrame({"tweet_id": [key[0]], "text": [asked], "gold_reply": [reply]})
-            asked = reply = None
-        start = asked_at if asked_at is not None else reply_at
-        until = reply_at if both and not done else start + keep_ms
-        if until <= now and (done or not both):
-            if state.exists:
-                state.remove()
-            return
-        state.update((asked_at, asked, reply_at, reply_us, reply_id, reply, done))
-        state.setTimeoutTimestamp(max(until, now) + 1)
-
-    return step
-
-
-def thread_pairs_on(
-    posts: DataFrame, brand: str = fixed.BRAND, delay: str = "1 hour", keep: str = "30 days", slice_seconds: int = 60
-) -> DataFrame:
-    """The pairs of ``thread_pairs`` on a stream of posts, each given out once, when its first reply is settled.
+    return posts.select(F.inline(F.filter(kinds, lambda k: k.isNotNull()))).withColumn("done", F.lit(False))
+
+
+def settle(posts: DataFrame, now: int, keep_ms: int, slice_seconds: int) -> DataFrame:
+    """The state of each post once the watermark is ``now``, from what is known and what is new of it.
+
+    ``settled`` are the posts whose first reply the watermark has reached just now, ``kept`` those the next batch needs.
+    First ones are minima, combined on the map side, so a post with very many replies does not fill a task.
+    """
+    rows = posts.groupBy("post").agg(F.min("asked").alias("asked"), F.min("reply").alias("reply"), F.max("done").alias("done"))
+    both = F.col("asked").isNotNull() & F.col("reply").isNotNull()
+    reply_at = slice_of(F.col("reply.created_at"), slice_seconds)
+    settled = both & ~F.col("done") & (reply_at <= now)
+    waits = both & ~F.col("done") & (reply_at > now)
+    fresh = F.coalesce(F.col("asked.at"), reply_at) + keep_ms >= now
+    return rows.select("*", settled.alias("settled"), (waits | fresh).alias("kept")).filter("settled OR kept")
+
+
+def known(spark: SparkSession, folder: str) -> DataFrame:
+    """What the batch before has kept; of a post that is done only the mark."""
+    rows = spark.read.schema(STATE).parquet(f"{folder}/posts").filter("kept")
+    done = F.col("done") | F.col("settled")
+
+    def field(name: str) -> Column:
+        c = F.col(name)
+        marked = c.withField("new", F.lit(0)).withField("text", F.when(~done, c["text"]))
+        return F.when(c.isNotNull(), marked).alias(name)
+
+    return rows.select("post", field("asked"), field("reply"), done.alias("done"))
+
+
+def thread_pairs_stream(
+    posts: DataFrame, path: str, checkpoint: str, brand: str = fixed.BRAND, delay: str = "1 hour", keep: str = "30 days",
+    slice_seconds: int = 60,
+) -> StreamingQuery:
+    """Write the pairs of ``thread_pairs`` settled by the posts that have arrived so far, each exactly once.
 
     Time is that of the posts, of any author, in slices of ``slice_seconds``.  A reply is settled when the watermark (the latest
-    slice less ``delay``) has reached its slice; posts that arrive at or behind the watermark are late and left out.  So
-    the order of arrival within ``delay`` does not matter, and the last pairs come when later posts have arrived.
+    slice less ``delay``) has reached its slice; posts that arrive at or behind the watermark of the batch before are late and
+    left out.  So the order of arrival within ``delay`` does not matter, and the last pairs come when later posts have arrived.
     A question waits ``keep`` for a reply, and a reply for its question; the mark of a post that is done stays as long.
     Both bound the state.
 
     Posts without a time or an id are left out; of several questions with one id the earliest counts; a first reply
-    without text gives no pair.  Of the replies to one post in one slice each Arrow batch sends the first only, so a
-    post with very many replies does not fill a task.
-    """
-    moved = parts(posts, brand, slice_seconds).mapInPandas(combine, PART)
-    keep_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
-    return moved.withWatermark("at", delay).groupBy("post").applyInPandasWithState(
-        settle(keep_ms), PAIR, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    without text gives no pair.
 
+    The state is a table under the checkpoint, one row a post, joined with what is new by one grouping a batch.  A batch that is
+    repeated starts from the state of the batch before it and replaces its own pairs.
+    """
+    delay_ms, keep_ms = (int(pd.Timedelta(t).total_seconds() * 1000) for t in (delay, keep))
+    states = f"{checkpoint}/threads"
+
+    def merge(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        before, folder = f"{states}/batch={batch - 1}", f"{states}/batch={batch}"
+        if batch and not stage.exists(spark, f"{before}/clock"):
+            raise RuntimeError(f"{checkpoint} has no state of batch {batch - 1}.")
+        now = spark.read.parquet(f"{before}/clock").first()["now"] if batch else 0
+        timed = rows.withColumn("created_at", F.col("created_at").cast("timestamp"))
+        at = slice_of(F.col("created_at"), slice_seconds)
+        latest = timed.agg(F.max(at)).first()[0]
+        after = now if latest is None else max(now, latest - delay_ms)
+
+        found = arrived(timed.filter(at > now), brand, slice_seconds)
+        if batch:
+            found = known(spark, before).unionByName(found)
+        settle(found, after, keep_ms, slice_seconds).write.mode("overwrite").parquet(f"{folder}/posts")
+        spark.range(1).select(F.lit(after).cast("long").alias("now")).write.mode("overwrite").parquet(f"{folder}/clock")
+        pairs = spark.read.schema(STATE).parquet(f"{folder}/posts").filter("settled AND reply.text IS NOT NULL").select(
+            F.col("post").alias("tweet_id"), "asked.text", F.col("reply.text").alias("gold_reply"))
+        pairs.write.mode("overwrite").parquet(f"{path}/_next")
+        stage.publish(spark, f"{path}/_next", path, f"pairs-{batch}")
+        for old in stage.folders(spark, states, "batch="):
+            if int(old) < batch - 1:
+                stage.remove(spark, f"{states}/batch={old}")
 
-def thread_pairs_stream(posts: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
-    """Write the pairs settled by the posts that have arrived so far, each exactly once."""
     return (
-        thread_pairs_on(posts, **options).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        posts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 from deskflow.operators.threads import thread_pairs
-from deskflow.sources.stage import new_path
+from deskflow.sources.stage import new_path, remove
 from deskflow.streaming.threads import count_stream, latest_counts, thread_pairs_stream
 
 SCHEMA = "tweet_id string, author_id string, inbound string, created_at timestamp, text string, in_response_to_tweet_id string"
@@ -84,3 +84,34 @@ def test_running_counts(spark):
         count_stream(spark.readStream.schema("text string").parquet(source), target, state).awaitTermination()
         seen.append(sum(r["n"] for r in latest_counts(spark, target).collect()))
     assert seen == [2, 5]
+
+
+def test_the_state_is_one_native_grouping(spark, monkeypatch, run):
+    """No Python per post: each post of a batch costs a row of a grouping, and a repeated batch replaces its pairs."""
+    from deskflow.streaming import threads
+
+    plans, settle = [], threads.settle
+
+    def seen(*args):
+        rows = settle(*args)
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    monkeypatch.setattr(threads, "settle", seen)
+    run([post("1", "10:00", "'q'"), reply("8", "10:05", "'a'", "1")])
+    assert run([clock("11:00")]) == [("1", "q", "a")]
+    assert len(plans) == 2 and not any("Pandas" in p or "Python" in p for p in plans)
+
+
+def test_a_repeated_batch_gives_its_pairs_once(spark):
+    source, target, state = (new_path(spark, n) for n in ("in", "out", "state"))
+    for rows in ([post("1", "10:00", "'q'"), reply("8", "10:05", "'a'", "1")], [clock("11:00")]):
+        frame(spark, rows).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(SCHEMA).parquet(source)
+        thread_pairs_stream(arriving, target, state, brand="B", delay="10 minutes").awaitTermination()
+    # As if the driver was lost before the batch was marked.
+    for name in ("1", ".1.crc"):
+        remove(spark, f"{state}/commits/{name}")
+    arriving = spark.readStream.schema(SCHEMA).parquet(source)
+    thread_pairs_stream(arriving, target, state, brand="B", delay="10 minutes").awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(target).collect()] == [("1", "q", "a")]
