@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow.functions.columns import compute_once
+from deskflow.functions.counting import bucket_totals, chosen_terms
 from deskflow.functions.text import tokens
 from deskflow.sources.stage import stage
 
@@ -46,6 +47,8 @@ def term_stats(df: DataFrame, text: str, top: int = 5000) -> DataFrame:
 def term_stats_large(df: DataFrame, text: str, top: int = 5000, buckets: int = 1 << 20) -> DataFrame:
     """The rows of ``term_stats``, without a shuffle of every distinct term.
 
+    Texts are cut into words by Spark, and counted over Arrow batches; no row is made for an occurrence.
+
     1. All occurrences are counted by ``buckets`` hash buckets of their terms: numbers, at most ``buckets`` a task.
     2. The terms of the ``2 * top`` fullest buckets are counted one by one.  The ``top``-th of these counts is a bound: a
        bucket whose total is below it holds no term of the result.
@@ -54,18 +57,28 @@ def term_stats_large(df: DataFrame, text: str, top: int = 5000, buckets: int = 1
     So the result is exact; what the shuffles carry depends on the buckets, and on how many reach the bound.  In
     texts whose terms are all about as rare, that is most of them.  A null text has no term.
     """
-    rows = occurrences(df, text).withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
-    totals = stage(rows.groupBy("_bucket").agg(F.count("*").alias("total")), "buckets")
+    spark = df.sparkSession
+    words = df.select(tokens(F.col(text)).alias("words"))
+    totals = stage(words.mapInArrow(bucket_totals(buckets), "bucket long, total long").groupBy("bucket").agg(
+        F.sum("total").alias("total")), "buckets")
 
-    def counted(chosen: DataFrame) -> DataFrame:
+    def counted(chosen: DataFrame) -> DataFrame | None:
         # Numbers of buckets are broadcast, at most ``buckets``.
-        return rows.join(F.broadcast(chosen.select("_bucket")), "_bucket", "left_semi").groupBy("term").agg(*_frequencies())
+        numbers = chosen.select("bucket").toArrow().column("bucket").to_numpy()
+        if not len(numbers):
+            return None
+        found = words.mapInArrow(chosen_terms(spark.sparkContext.broadcast(numbers), buckets), "term string, tf long, df long")
+        return found.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
     # The order is total, so each reading chooses the same buckets.
-    fullest = totals.orderBy(F.desc("total"), "_bucket").limit(2 * top)
-    known = stage(counted(fullest), "counted")
+    fullest = totals.orderBy(F.desc("total"), "bucket").limit(2 * top)
+    first = counted(fullest)
+    if first is None:
+        return spark.createDataFrame([], "term string, tf long, df long")
+    known = stage(first, "counted")
     best = known.orderBy(F.desc("tf"), "term").limit(top).agg(F.count("*").alias("n"), F.min("tf").alias("least")).first()
     # Every bucket has a term, so with fewer terms than ``top`` all buckets were among the fullest.
     bound = best["least"] if best["n"] == top else 0
-    others = totals.filter(F.col("total") >= bound).join(F.broadcast(fullest.select("_bucket")), "_bucket", "left_anti")
-    return known.unionByName(counted(others)).orderBy(F.desc("tf"), "term").limit(top)
+    others = counted(totals.filter(F.col("total") >= bound).join(F.broadcast(fullest.select("bucket")), "bucket", "left_anti"))
+    found = known if others is None else known.unionByName(others)
+    return found.orderBy(F.desc("tf"), "term").limit(top)

@@ -101,3 +101,28 @@ def test_rare_terms_are_not_read_again(spark):
     assert [r["tf"] for r in got.collect()] == [20000, 5000, 5000, 5000, 5000]
     final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "Generate" not in final
+
+
+def test_words_and_pairs_are_counted_by_batches(spark, monkeypatch):
+    """No row per occurrence leaves a task, whatever the size of the pieces; odd characters, nulls and one text of many words."""
+    from deskflow.functions import counting
+    from deskflow.operators import terms
+
+    texts = [("\u00c4pfel \u00e4pfel \u0130x x_1 \u4e2d\u6587 \U00010400\U00010401 a b",), (None,), ("",), ("ab cd " * 500,), ("cd ab",), ("ab",), ("cd",)] * 9
+    df = spark.createDataFrame(texts, "text string").repartition(3)
+    want = sorted(map(tuple, term_stats(df, "text", 1000).collect()))
+    plans, write = [], terms.stage
+
+    def seen(rows, name):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows, name)
+
+    monkeypatch.setattr(terms, "stage", seen)
+    for at_once in (1, 7, counting.WORDS_AT_ONCE):
+        monkeypatch.setattr(terms, "bucket_totals", lambda n: counting.bucket_totals(n, at_once))
+        monkeypatch.setattr(terms, "chosen_terms", lambda s, n: counting.chosen_terms(s, n, at_once))
+        for buckets in (2, 1 << 12):
+            assert sorted(map(tuple, term_stats_large(df, "text", 1000, buckets).collect())) == want
+            assert sorted(map(tuple, term_stats_large(df, "text", 2, buckets).collect())) == sorted(
+                map(tuple, term_stats(df, "text", 2).collect()))
+    assert not any("Generate" in p for p in plans)
