@@ -85,11 +85,11 @@ def topk_small(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     return hits.select("query_id", (F.col("rank") + 1).alias("rank"), "hit.id", "hit.similarity")
 
 
-def _written(rows: DataFrame, vector: str) -> DataFrame:
-    """Rows with a number and 128 bits of hash of their vector, which know equal vectors."""
+def _written(rows: DataFrame, vector: str, name: str = "search") -> DataFrame:
+    """Rows with a number, in their order, and 128 bits of hash of their vector, which know equal vectors."""
     return stage(rows.select(
         "*", F.monotonically_increasing_id().alias("_row"), F.xxhash64(vector).alias("_h1"),
-        F.xxhash64(F.lit(1), vector).alias("_h2")), "search")
+        F.xxhash64(F.lit(1), vector).alias("_h2")), name)
 
 
 def _blocks(written: DataFrame, distinct: DataFrame, vector: str, block_bytes: int) -> int:
@@ -100,16 +100,14 @@ def _blocks(written: DataFrame, distinct: DataFrame, vector: str, block_bytes: i
 
 
 class _Search:
-    """Distinct vectors of both sides of a search, scoring of pairs of blocks, and merging.
+    """Distinct vectors of both sides of a search, as ``_written``, scoring of pairs of blocks, and merging.
 
     Equal vectors are searched once, and of equal vectors of the index only the k lowest ids matter; both are grouped by
     narrow rows, limited before their shuffle, so a vector that most rows have is no heavier than others.
     """
 
-    def __init__(self, queries: DataFrame, index: DataFrame, k: int):
-        self.k, self.kind = k, index.schema["id"].dataType
-        self.asked = _written(queries.select("query_id", "q_vector"), "q_vector")
-        entries = _written(index.select("id", "i_vector"), "i_vector")
+    def __init__(self, asked: DataFrame, entries: DataFrame, k: int):
+        self.k, self.kind, self.asked = k, entries.schema["id"].dataType, asked
         self.speakers = stage(self.asked.groupBy("_h1", "_h2").agg(F.min("_row").alias("asked")), "speakers")
         by_id = W.partitionBy("_h1", "_h2").orderBy(F.col("id").asc_nulls_last(), "_row")
         low = entries.select("_h1", "_h2", "id", "_row").withColumn("_n", F.row_number().over(by_id)).filter(F.col("_n") <= k)
@@ -139,15 +137,36 @@ class _Search:
         left, right = (side.repartition(tasks, "pair").groupBy("pair") for side in (left, right))
         return left.cogroup(right).applyInArrow(meet, f"asked long, ids array<{self.kind.simpleString()}>, similarity double")
 
-    def merged(self, found: DataFrame) -> DataFrame:
-        """The k best vectors of each query, the one with the lower id first, then the k best of their ids."""
+    def exact(self, block_bytes: int) -> DataFrame:
+        """Hits of every block of queries in every block of the index."""
+        n_asked, n_entries = self.blocks(block_bytes)
+
+        def dealt(rows: DataFrame, own: int, other: int, pair) -> DataFrame:
+            every = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("_other")
+            block = F.pmod(F.xxhash64("_row"), F.lit(own)).cast("int").alias("_block")
+            return rows.select("*", block, every).withColumn("pair", pair).drop("_block", "_other")
+
+        left = dealt(self.left, n_asked, n_entries, F.col("_block") * n_entries + F.col("_other"))
+        right = dealt(self.right, n_entries, n_asked, F.col("_other") * n_entries + F.col("_block"))
+        return self.found(left, right, n_asked * n_entries)
+
+    def ranked(self, found: DataFrame) -> DataFrame:
+        """Of each distinct vector asked, the k best vectors, the one with the lower id first, then the k best of their ids."""
         best_first = W.partitionBy("asked").orderBy(F.desc("similarity"), F.col("ids")[0].asc_nulls_last())
         vectors = found.withColumn("_n", F.row_number().over(best_first)).filter(F.col("_n") <= self.k)
         one = vectors.select("asked", "similarity", F.explode("ids").alias("id"))
-        ranked = one.withColumn("rank", F.row_number().over(W.partitionBy("asked").orderBy(
+        return one.withColumn("rank", F.row_number().over(W.partitionBy("asked").orderBy(
             F.desc("similarity"), F.col("id").asc_nulls_last()))).filter(F.col("rank") <= self.k)
+
+    def merged(self, found: DataFrame) -> DataFrame:
+        """The hits of each query."""
         back = self.asked.select("query_id", "_h1", "_h2").join(self.speakers, ["_h1", "_h2"]).select("query_id", "asked")
-        return back.join(ranked, "asked").select("query_id", "rank", "id", "similarity")
+        return back.join(self.ranked(found), "asked").select("query_id", "rank", "id", "similarity")
+
+
+def _search(queries: DataFrame, index: DataFrame, k: int) -> _Search:
+    return _Search(_written(queries.select("query_id", "q_vector"), "q_vector"),
+                   _written(index.select("id", "i_vector"), "i_vector"), k)
 
 
 def topk_large(queries: DataFrame, index: DataFrame, k: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -156,17 +175,8 @@ def topk_large(queries: DataFrame, index: DataFrame, k: int, block_bytes: int =
     Distinct vectors are dealt to blocks by a hash of their number.  Each side is sent once per block of the other, so
     bytes shuffled are those of a side times the blocks of the other.
     """
-    search = _Search(queries, index, k)
-    n_asked, n_entries = search.blocks(block_bytes)
-
-    def dealt(rows: DataFrame, own: int, other: int, pair) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("_other")
-        block = F.pmod(F.xxhash64("_row"), F.lit(own)).cast("int").alias("_block")
-        return rows.select("*", block, every).withColumn("pair", pair).drop("_block", "_other")
-
-    left = dealt(search.left, n_asked, n_entries, F.col("_block") * n_entries + F.col("_other"))
-    right = dealt(search.right, n_entries, n_asked, F.col("_other") * n_entries + F.col("_block"))
-    return search.merged(search.found(left, right, n_asked * n_entries))
+    search = _search(queries, index, k)
+    return search.merged(search.exact(block_bytes))
 
 
 def centres(rows: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
@@ -204,7 +214,7 @@ def topk_cells(queries: DataFrame, index: DataFrame, k: int, cells: int | None =
     of the index is put into a cell.  A cell of more than ``block_bytes`` on either side is split, and every part of its
     queries meets every part of its rows, so a hot cell is many tasks.
     """
-    search = _Search(queries, index, k)
+    search = _search(queries, index, k)
     distinct = search.sizes[1][1].count()
     cells = cells or max(1, min(4096, math.isqrt(distinct)))
     few = search.right.orderBy(F.xxhash64("_row"), "_row").limit(sample).select("i_vector").toArrow()
@@ -269,15 +279,16 @@ def retrieve_context(
     """Adds ``retrieved_context`` to each row, whatever its id: rows with equal ids, or none, are searched one by one."""
     texts = index.select(F.col("id"), F.col("embedding").alias("i_vector"), *_META)
     if index_bytes(texts, "i_vector", _META) > small_bytes:
-        # Both are read several times from here on; row numbers are written, so they stay what they are.
-        numbered = stage(messages.withColumn("_row", F.monotonically_increasing_id()), "messages")
-        # Numbered in the order of the ids, which decides between equal similarities.
-        entries = stage(texts.orderBy(F.col("id").asc_nulls_last()).withColumn("_entry", F.monotonically_increasing_id()),
-                        "entries")
-        hits = attach_metadata(topk_large(
-            numbered.select(F.col("_row").alias("query_id"), F.col(vector).alias("q_vector")),
-            entries.select(F.col("_entry").alias("id"), "i_vector"), k), entries, "_entry")
-        joined = numbered.join(neighbour_lists(hits).withColumnRenamed("query_id", "_row"), "_row", "left").drop("_row")
+        # Both are read several times from here on, and vectors are dear to write: once each.  Row numbers are written, so they
+        # stay what they are; those of the index are in the order of the ids, which decides between equal similarities.
+        numbered = _written(messages, vector, "messages")
+        entries = _written(texts.orderBy(F.col("id").asc_nulls_last()), "i_vector", "entries")
+        search = _Search(numbered.select(F.col("_row").alias("query_id"), F.col(vector).alias("q_vector"), "_row", "_h1", "_h2"),
+                         entries.select(F.col("_row").alias("id"), "i_vector", "_row", "_h1", "_h2"), k)
+        # Texts are gathered once per distinct vector; messages meet the list of theirs.
+        hits = attach_metadata(search.ranked(search.exact(BLOCK_BYTES)).withColumnRenamed("asked", "query_id"), entries, "_row")
+        lists = neighbour_lists(hits).withColumnRenamed("query_id", "asked").join(search.speakers, "asked").drop("asked")
+        joined = numbered.join(lists, ["_h1", "_h2"], "left").drop("_h1", "_h2", "_row")
         return joined.withColumn("retrieved_context", F.coalesce("retrieved_context", F.array()))
 
     table = texts.toArrow().sort_by("id")

@@ -174,3 +174,32 @@ def test_context_lists_agree(spark, data):
     a, b = ({str(r) for r in retrieval.retrieve_context(messages, shared, 1000, small_bytes=n).select(
         F.size("retrieved_context")).collect()} for n in (1 << 26, 1000))
     assert a == b == {f"Row(size(retrieved_context)={len(m)})"}
+
+
+def test_context_writes_vectors_once_and_lists_once_per_vector(spark, monkeypatch):
+    """Beyond the bound: one table with vectors a side; texts are listed for the four distinct vectors; repeated and null ids."""
+    index = spark.range(300).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") / 2).cast("long")).alias("id"),
+        F.array(*[((F.col("id") * p) % 7 + 1).cast("float") for p in (1, 3, 5)]).alias("embedding"),
+        F.concat(F.lit("q"), "id").alias("tweet"), F.lit("a").alias("apple_reply"), F.lit("i").alias("intent"))
+    index = index.dropDuplicates(["id"]).filter("id IS NOT NULL")
+    asked = spark.range(400).select(
+        F.when(F.col("id") % 9 != 0, F.col("id") % 20).alias("m"),
+        F.array(*[((F.col("id") % 5 * p) % 4 + 1).cast("float") for p in (1, 2, 3)]).alias("embedding")).repartition(5)
+    want = sorted(map(str, retrieval.retrieve_context(asked, index, 3).collect()))
+    written, lists, write, listed = [], [], retrieval.stage, retrieval.neighbour_lists
+
+    def seen(rows, name):
+        written.extend([name] if any(t.startswith("array<float") for _, t in rows.dtypes) else [])
+        return write(rows, name)
+
+    def counted(hits):
+        lists.append(hits.count())
+        return listed(hits)
+
+    monkeypatch.setattr(retrieval, "stage", seen)
+    monkeypatch.setattr(retrieval, "neighbour_lists", counted)
+    got = retrieval.retrieve_context(asked, index, 3, small_bytes=0)
+    assert sorted(map(str, got.collect())) == want and got.columns == ["m", "embedding", "retrieved_context"]
+    assert sorted(written) == ["entries", "messages"] and lists == [3 * 4]
+    assert [r["retrieved_context"] for r in retrieval.retrieve_context(asked.limit(2), index.limit(0), 3, small_bytes=-1).collect()] == [[], []]
